@@ -106,12 +106,12 @@ def wide_to_cells(df: DataFrame, schema: Iterable[str | Field], row: str, family
         raise TypeError(f"row key {row!r} has no byte encoding")
     if skipped:
         warnings.warn(f"no cells for columns without a byte encoding: {skipped}", stacklevel=2)
+    key = F.coalesce(encoded[row], F.raise_error(F.lit(f"null row key {row}")).cast("binary"))
     cells = F.array(
         *(F.struct(F.lit(n).alias("qualifier"), c.alias("value")) for n, c in encoded.items() if c is not None)
     )
-    key = F.coalesce(encoded[row], F.raise_error(F.lit(f"null row key {row}")).cast("binary"))
     return (
-        wide.select(key.alias("rowkey"), F.filter(cells, lambda c: c["value"].isNotNull()).alias("cells"))
-        .select("rowkey", F.explode("cells").alias("cell"))
+        wide.select(key.alias("rowkey"), F.explode(cells).alias("cell"))
         .select("rowkey", F.lit(family).alias("family"), "cell.qualifier", "cell.value")
+        .where(F.col("value").isNotNull())
     )

@@ -4,23 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabloom.functions.expr import Expr, Operand, Scope
-from tabloom.operators.sizing import BROADCAST_LIMIT, Size, broadcast_within, measure
+from tabloom.operators.sizing import BROADCAST_LIMIT, Size, join_lookup, measure
 from tabloom.schema import quoted
 
 
+def comparable(key: Column, data_type: T.DataType) -> Column:
+    """The form keys are grouped in: whole numbers as such, which equal as their text does."""
+    return key.cast("bigint" if isinstance(data_type, T.IntegralType) else "string")
+
+
 def key_value(df: DataFrame, order_by: str | None = None) -> DataFrame:
-    """A map from the first column (as text) to the second, one row per key.
+    """A map ``(k, v)`` from the first column to the second, one row per key.
 
     Of several rows with one key the highest ``order_by`` wins, then the highest value;
     without an order column the highest value. The maximum is combined map-side, so a key
     with very many copies costs no more than any other.
     """
     key, value = (F.col(quoted(c)) for c in df.columns[:2])
-    order = F.col(quoted(order_by)) if order_by else F.lit(0)
-    best = F.max(F.struct(order.alias("o"), value.alias("v")))
-    return df.groupBy(key.cast("string").alias("k")).agg(best.alias("b")).select("k", F.col("b.v").alias("v"))
+    by_key = df.groupBy(comparable(key, df.schema[0].dataType).alias("k"))
+    if order_by is None:
+        return by_key.agg(F.max(value).alias("v"))
+    latest = F.max(F.struct(F.col(quoted(order_by)).alias("o"), value.alias("v")))
+    return by_key.agg(latest.alias("b")).select("k", F.col("b.v").alias("v"))
 
 
 class Dimension:
@@ -33,11 +41,11 @@ class Dimension:
         self.broadcast_limit = broadcast_limit
         self._sizes: dict[int, Size] = {}
 
-    def side(self, i: int) -> DataFrame:
-        """Map ``i`` as a join side, measured once."""
+    def size(self, i: int) -> Size:
+        """Map ``i`` measured, once."""
         if i not in self._sizes:
-            self._sizes[i] = measure(self.maps[i])
-        return broadcast_within(self.maps[i], self._sizes[i], self.broadcast_limit)
+            self._sizes[i] = measure(self.maps[i], "k")
+        return self._sizes[i]
 
 
 def find(scope: Scope, alias: str | Dimension, kind: type, maps_needed: int):
@@ -69,9 +77,13 @@ def dimension(alias: str | Dimension, *keys: Operand) -> Expr:
         found = find(scope, alias, Dimension, len(keys))
         values = []
         for i, key in enumerate(keys):
-            column, k, v = scope.column(key).cast("string"), scope.helper(), scope.helper()
-            side = found.side(i).toDF(k, v)
-            scope.frame = scope.frame.join(side, column.eqNullSafe(F.col(k)), "left")
+            column, data_type = scope.typed(key)
+            k, v = scope.helper(), scope.helper()
+            side, size = found.maps[i].toDF(k, v), found.size(i)
+            column = comparable(column, data_type)
+            if isinstance(side.schema[k].dataType, T.LongType) != isinstance(data_type, T.IntegralType):
+                side, column = side.withColumn(k, F.col(k).cast("string")), column.cast("string")
+            scope.frame = join_lookup(scope.frame, column, side, size, size.null_keys > 0, found.broadcast_limit)
             values.append(F.col(v))
         return first_found(scope, values)
 

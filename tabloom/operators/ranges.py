@@ -29,7 +29,7 @@ from tabloom.durable import materialized
 from tabloom.functions.conditions import number_of
 from tabloom.functions.expr import Expr, Operand, Scope
 from tabloom.operators.dimension import find, first_found
-from tabloom.operators.sizing import BROADCAST_LIMIT, broadcast_within, measure
+from tabloom.operators.sizing import BROADCAST_LIMIT, Size, join_lookup, measure
 
 _INF = float("inf")
 
@@ -44,8 +44,7 @@ def range_value(df: DataFrame) -> DataFrame:
     at one point only the longest can ever win, so one row per start remains.
     """
     if len(df.columns) == 2:
-        key, value = df.toDF("key", "v").columns
-        df = df.toDF(key, value)
+        df = df.toDF("key", "v")
         ends = F.split("key", "_")
         lo, hi = (number_of(F.get(ends, F.lit(i))) for i in (0, 1))
         df = df.select(lo.alias("lo"), hi.alias("hi"), "v")
@@ -93,7 +92,9 @@ def steps_of(lo: np.ndarray, hi: np.ndarray, start: float, end: float) -> tuple[
 
 def _position(df: DataFrame, cuts: list[float], number: str, out: str) -> DataFrame:
     """Add the index of the cut interval ``number`` lies in; below the first cut it is 0."""
-    return Bucketizer(splits=[-_INF, *cuts, _INF], inputCol=number, outputCol=out, handleInvalid="keep").transform(df)
+    bucketizer = Bucketizer(splits=[-_INF, *cuts, _INF], inputCol=number, outputCol=out, handleInvalid="keep")
+    # the cast also drops the column's metadata, a description of every interval
+    return bucketizer.transform(df).withColumn(out, F.col(out).cast("int"))
 
 
 def _tree_nodes(first: Column, last: Column, levels: int) -> Column:
@@ -115,10 +116,11 @@ class _Index:
     """A map prepared for lookups: cut points, and a table position -> step(s) to join."""
 
     def __init__(self, ranges: DataFrame, limits: RangeDimension):
-        size = measure(ranges)
+        size = measure(ranges, "lo")
+        self.limit = limits.broadcast_limit
         self.per_cut = 1
         if size.rows <= limits.local_rows and size.bytes <= limits.broadcast_limit:
-            self._small(ranges)
+            self._small(ranges, size)
         else:
             self.per_cut = max(1, math.ceil(3 * size.rows / limits.max_cuts))
             steps = self._large(ranges, max(2, math.ceil(2 * size.rows / limits.slab_rows)))
@@ -130,20 +132,21 @@ class _Index:
                 F.min("start").alias("first"),
                 F.sort_array(F.collect_list(F.struct("start", "v"))).alias("steps"),
             )
-            table = _position(by_cut, self.cuts, "first", "position").select("position", "steps")
-            self.table = broadcast_within(table, measure(table), limits.broadcast_limit)
+            self.table = _position(by_cut, self.cuts, "first", "position").select("position", "steps")
+            self.size = measure(self.table, "position")
 
-    def _small(self, ranges: DataFrame) -> None:
+    def _small(self, ranges: DataFrame, size: Size) -> None:
         rows = ranges.select("lo", "hi", "v").collect()
         lo, hi = (np.array([r[i] for r in rows], dtype=float) for i in (0, 1))
         points, winners = steps_of(lo, hi, -_INF, _INF)
         value = {r.lo: r.v for r in rows}
         # points[0] is -inf, where no range has begun
         self.cuts = points[1:] or [0.0]
-        found = [(float(n), [(p, value[w])]) for n, (p, w) in enumerate(zip(points, winners)) if w in value]
+        found = [(n, [(p, value[w])]) for n, (p, w) in enumerate(zip(points, winners)) if w in value]
         v = ranges.schema["v"].dataType.simpleString()
-        schema = f"position double, steps array<struct<start: double, v: {v}>>"
-        self.table = F.broadcast(ranges.sparkSession.createDataFrame(found, schema))
+        schema = f"position int, steps array<struct<start: double, v: {v}>>"
+        self.table = ranges.sparkSession.createDataFrame(found, schema)
+        self.size = size
 
     def _large(self, ranges: DataFrame, slabs: int) -> DataFrame:
         spark = ranges.sparkSession
@@ -164,7 +167,7 @@ class _Index:
             .groupBy("n.level", "n.node")
             .agg(F.max(F.struct("lo", "hi")).alias("best"))
         )
-        all_slabs = spark.range(len(cuts) + 1).select(F.col("id").cast("double").alias("slab"))
+        all_slabs = spark.range(len(cuts) + 1).select(F.col("id").cast("int").alias("slab"))
         spanning = (
             all_slabs.select("slab", F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("level"))
             .withColumn("node", F.floor(F.col("slab") / F.pow(F.lit(2.0), F.col("level"))))
@@ -174,9 +177,9 @@ class _Index:
             .select("slab", "best.lo", "best.hi")
         )
         none = F.lit(None).cast("double")
-        parts = (
-            starting.unionByName(ending).unionByName(spanning).unionByName(all_slabs.select("slab", none.alias("lo"), none.alias("hi")))
-        )
+        # one row for each slab, so that also a slab without ranges says that nothing is in force
+        blank = all_slabs.select("slab", none.alias("lo"), none.alias("hi"))
+        parts = starting.unionByName(ending).unionByName(spanning).unionByName(blank)
         borders, per_cut = [-_INF, *cuts, _INF], self.per_cut
 
         def walk(rows: pd.DataFrame) -> pd.DataFrame:
@@ -198,8 +201,7 @@ class _Index:
         known = F.when(~F.isnan(number), number + F.lit(0.0))
         frame = _position(scope.frame.withColumn(x, known), self.cuts, x, position)
         side = self.table.toDF(here, steps)
-        # without a number there is no position, and without a position no row on the other side
-        scope.frame = frame.join(side, F.col(position).eqNullSafe(F.col(here)), "left")
+        scope.frame = join_lookup(frame, F.col(position), side, self.size, False, self.limit)
         if self.per_cut == 1:
             return F.when(F.col(x).isNotNull(), F.get(F.col(steps), F.lit(0)).getField("v"))
         passed = F.filter(F.col(steps), lambda s: s["start"] <= F.col(x))

@@ -16,6 +16,7 @@ _ROW_OVERHEAD = 32
 class Size(NamedTuple):
     rows: int
     bytes: int
+    null_keys: int
 
 
 def _width(field: T.StructField) -> Column:
@@ -27,17 +28,24 @@ def _width(field: T.StructField) -> Column:
     return F.lit(16)
 
 
-def measure(df: DataFrame) -> Size:
-    """Exact row count and an upper estimate of the bytes, from one distributed aggregate."""
+def measure(df: DataFrame, key: str) -> Size:
+    """Exact rows, an upper estimate of the bytes and the rows without a key, in one aggregate."""
     weight = reduce(Column.__add__, (_width(f) for f in df.schema), F.lit(_ROW_OVERHEAD)).cast("bigint")
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight), F.lit(0))).first()
-    return Size(rows, size)
+    found = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight), F.lit(0)), F.count_if(F.col(key).isNull()))
+    return Size(*found.first())
 
 
-def broadcast_within(df: DataFrame, size: Size, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast for a measured side; a larger one is left to a shuffled join.
+def join_lookup(
+    df: DataFrame, key: Column, side: DataFrame, size: Size, null_keys: bool = True, limit: int = BROADCAST_LIMIT
+) -> DataFrame:
+    """Left join a lookup (one row per value of its first column) on ``key``.
 
-    That join is null-safe on its keys at every call site, so Spark shuffles both sides by
-    the key expressions and adaptive execution can split a hot key's partition.
+    A side measured within the limit is broadcast. A larger one is merged: being null-safe,
+    that join shuffles both sides by expressions of the key, which lets adaptive execution
+    split the partition of a hot key, the one of the rows without a key included.
     """
-    return F.broadcast(df) if size.bytes <= limit else df
+    other = F.col(side.columns[0])
+    if size.bytes > limit:
+        return df.join(side.hint("merge"), key.eqNullSafe(other), "left")
+    # Without a null key to find, plain equality does, and it has the cheaper hash table.
+    return df.join(F.broadcast(side), key.eqNullSafe(other) if null_keys else key == other, "left")

@@ -128,12 +128,12 @@ _DAILY = """(select event_type, cast(ts as date) as day, count(*) as events,
 _sql(
     "win_rank",
     "events",
-    f"""select event_type, cast(day as {{text}}) as day, events,
+    f"""select event_type, cast(day as string) as day, events,
                cast(row_number() over (partition by event_type order by events desc, day) as int) as place,
                cast(rank() over (partition by event_type order by events desc) as int) as ranked,
                cast(dense_rank() over (partition by event_type order by events desc) as int) as dense,
                cast(ntile(4) over (partition by event_type order by events desc, day) as int) as quarter
-        from {_DAILY}""".replace("{text}", "string"),
+        from {_DAILY}""",
 )
 _sql(
     "win_analytic",
@@ -153,13 +153,16 @@ _sql(
                     rows between 6 preceding and current row) as bigint) as week
         from {_DAILY}""",
 )
+_RANGE_FRAME = """select event_type, cast(day as string) as day,
+               cast(sum(cents) over (partition by event_type order by n
+                    range between 6 preceding and 1 following) as bigint) as week
+        from (select *, {day_number} as n from {daily}) t"""
+
 _sql(
     "win_frame_range",
     "events",
-    f"""select event_type, cast(day as string) as day,
-               cast(sum(cents) over (partition by event_type order by n
-                    range between 6 preceding and 1 following) as bigint) as week
-        from (select *, extract(year from day) * 366 + extract(doy from day) as n from {_DAILY}) t""",
+    _RANGE_FRAME.format(day_number="unix_date(day)", daily=_DAILY),
+    oracle=_RANGE_FRAME.format(day_number="day - date '1970-01-01'", daily=_DAILY),
 )
 _sql(
     "win_topk_per_key",
