@@ -106,7 +106,8 @@ def wide_to_cells(df: DataFrame, schema: Iterable[str | Field], row: str, family
         raise TypeError(f"row key {row!r} has no byte encoding")
     if skipped:
         warnings.warn(f"no cells for columns without a byte encoding: {skipped}", stacklevel=2)
-    key = F.coalesce(encoded[row], F.raise_error(F.lit(f"null row key {row}")).cast("binary"))
+    # The key is checked as one of the cells too, so that a row of nothing but nulls also fails.
+    key = encoded[row] = F.coalesce(encoded[row], F.raise_error(F.lit(f"null row key {row}")).cast("binary"))
     cells = F.array(
         *(F.struct(F.lit(n).alias("qualifier"), c.alias("value")) for n, c in encoded.items() if c is not None)
     )
