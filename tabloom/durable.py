@@ -1,23 +1,34 @@
-"""Shared storage for intermediate results."""
+"""Intermediate results as tables in shared storage.
+
+A lookup is written once, in the pass that works it out, and joined from there: it is not
+computed again for every use, its size is known exactly, and a lost executor costs nothing.
+"""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for intermediate data; a temporary one where it names none."""
-    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
+    """The folder the cluster names for intermediate data.
+
+    Where it names none this is a folder of the default file system, if executors share that,
+    or in local mode a temporary one.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if context.master.startswith("local"):
+        return tempfile.mkdtemp(prefix="tabloom-")
+    if context._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").startswith("file:"):
         raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="tabloom-")
+    return "/tmp/tabloom"
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
@@ -25,9 +36,15 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """The rows written to shared storage, so that a lost executor does not recompute them."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(new_folder(df.sparkSession, "checkpoint"))
-    return df.checkpoint()
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a table of their own."""
+    path = new_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written_with(df: DataFrame, purpose: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """The rows as a table, and aggregates over them taken while writing."""
+    seen = Observation(purpose)
+    table = written(df.observe(seen, *(c.alias(n) for n, c in metrics.items())), purpose)
+    return table, seen.get

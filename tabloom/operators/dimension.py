@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.functions.expr import Expr, Operand, Scope
-from tabloom.operators.sizing import BROADCAST_LIMIT, Size, join_lookup, measure
+from tabloom.operators.sizing import BROADCAST_LIMIT, Size, join_lookup, settled
 from tabloom.schema import quoted
 
 
@@ -39,13 +39,13 @@ class Dimension:
             raise ValueError("a dimension needs at least one map")
         self.maps = [key_value(m, order_by) for m in maps]
         self.broadcast_limit = broadcast_limit
-        self._sizes: dict[int, Size] = {}
+        self._settled: dict[int, tuple[DataFrame, Size]] = {}
 
-    def size(self, i: int) -> Size:
-        """Map ``i`` measured, once."""
-        if i not in self._sizes:
-            self._sizes[i] = measure(self.maps[i], "k")
-        return self._sizes[i]
+    def settled(self, i: int) -> tuple[DataFrame, Size]:
+        """Map ``i`` as a stored table and its size; worked out at its first use."""
+        if i not in self._settled:
+            self._settled[i] = settled(self.maps[i], "k", "dimension")
+        return self._settled[i]
 
 
 def find(scope: Scope, alias: str | Dimension, kind: type, maps_needed: int):
@@ -61,7 +61,8 @@ def find(scope: Scope, alias: str | Dimension, kind: type, maps_needed: int):
 
 def first_found(scope: Scope, values: list[Column]) -> Column:
     """The first value that is not null; maps of different types are an error."""
-    types = {scope.typed(Expr(lambda _, v=v: v))[1].simpleString() for v in values}
+    joined = scope.frame.select(*(v.alias(f"v{i}") for i, v in enumerate(values)))
+    types = {data_type for _, data_type in joined.dtypes}
     if len(types) > 1:
         raise TypeError(f"the maps hold values of different types: {sorted(types)}")
     return F.coalesce(*values)
@@ -79,7 +80,8 @@ def dimension(alias: str | Dimension, *keys: Operand) -> Expr:
         for i, key in enumerate(keys):
             column, data_type = scope.typed(key)
             k, v = scope.helper(), scope.helper()
-            side, size = found.maps[i].toDF(k, v), found.size(i)
+            table, size = found.settled(i)
+            side = table.toDF(k, v)
             column = comparable(column, data_type)
             if isinstance(side.schema[k].dataType, T.LongType) != isinstance(data_type, T.IntegralType):
                 side, column = side.withColumn(k, F.col(k).cast("string")), column.cast("string")

@@ -25,11 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.durable import materialized
+from tabloom.durable import written
 from tabloom.functions.conditions import number_of
 from tabloom.functions.expr import Expr, Operand, Scope
 from tabloom.operators.dimension import find, first_found
-from tabloom.operators.sizing import BROADCAST_LIMIT, Size, join_lookup, measure
+from tabloom.operators.sizing import BROADCAST_LIMIT, Size, join_lookup, settled
 
 _INF = float("inf")
 
@@ -116,24 +116,26 @@ class _Index:
     """A map prepared for lookups: cut points, and a table position -> step(s) to join."""
 
     def __init__(self, ranges: DataFrame, limits: RangeDimension):
-        size = measure(ranges, "lo")
+        ranges, size = settled(ranges, "lo", "ranges")
         self.limit = limits.broadcast_limit
         self.per_cut = 1
         if size.rows <= limits.local_rows and size.bytes <= limits.broadcast_limit:
             self._small(ranges, size)
         else:
-            self.per_cut = max(1, math.ceil(3 * size.rows / limits.max_cuts))
+            steps_expected = 3 * size.rows
+            if steps_expected > limits.local_rows:
+                self.per_cut = max(limits.steps_per_cut, math.ceil(steps_expected / limits.max_cuts))
             steps = self._large(ranges, max(2, math.ceil(2 * size.rows / limits.slab_rows)))
             first = steps.where("i = 0").select("start").where(F.col("start") > -_INF)
-            # at most max_cuts numbers, plus one for each slab
+            # at most max_cuts numbers, plus one for each slab of thousands of ranges
             self.cuts = sorted(r.start for r in first.collect())
             # one row per cut, holding per_cut steps at most
             by_cut = steps.groupBy("slab", "chunk").agg(
                 F.min("start").alias("first"),
                 F.sort_array(F.collect_list(F.struct("start", "v"))).alias("steps"),
             )
-            self.table = _position(by_cut, self.cuts, "first", "position").select("position", "steps")
-            self.size = measure(self.table, "position")
+            table = _position(by_cut, self.cuts, "first", "position").select("position", "steps")
+            self.table, self.size = settled(table, "position", "range-table")
 
     def _small(self, ranges: DataFrame, size: Size) -> None:
         rows = ranges.select("lo", "hi", "v").collect()
@@ -150,7 +152,6 @@ class _Index:
 
     def _large(self, ranges: DataFrame, slabs: int) -> DataFrame:
         spark = ranges.sparkSession
-        ranges = materialized(ranges)
         ends = ranges.select(F.explode(F.array("lo", "hi")).alias("p")).distinct()
         shares = [i / slabs for i in range(1, slabs)]
         quantiles = ends.agg(F.percentile_approx("p", shares, 100 * slabs)).first()[0]
@@ -194,7 +195,7 @@ class _Index:
             return out
 
         steps = parts.groupBy("slab").applyInPandas(walk, "slab int, chunk long, i int, start double, lo double")
-        return materialized(steps.join(ranges.select("lo", "v"), "lo", "left").drop("lo"))
+        return written(steps.join(ranges.select("lo", "v"), "lo", "left").drop("lo"), "range-steps")
 
     def lookup(self, scope: Scope, number: Column) -> Column:
         x, position, here, steps = (scope.helper() for _ in range(4))
@@ -212,8 +213,8 @@ class RangeDimension:
     """Range maps under one alias; the i-th number of a lookup is searched in the i-th map.
 
     ``local_rows`` bounds the maps worked out in one go and ``slab_rows`` the ends in a slab of
-    a larger one, ``max_cuts`` the numbers held for the binary search. Beyond it several
-    steps share a cut.
+    a larger one. There, ``steps_per_cut`` steps share a number of the binary search, or more
+    when that would take over ``max_cuts`` numbers.
     """
 
     def __init__(
@@ -222,7 +223,8 @@ class RangeDimension:
         broadcast_limit: int = BROADCAST_LIMIT,
         local_rows: int = 5_000,
         slab_rows: int = 50_000,
-        max_cuts: int = 20_000,
+        steps_per_cut: int = 32,
+        max_cuts: int = 200_000,
     ):
         if not maps:
             raise ValueError("a range dimension needs at least one map")
@@ -230,6 +232,7 @@ class RangeDimension:
         self.broadcast_limit = broadcast_limit
         self.local_rows = local_rows
         self.slab_rows = slab_rows
+        self.steps_per_cut = steps_per_cut
         self.max_cuts = max_cuts
         self._indexes: dict[int, _Index] = {}
 

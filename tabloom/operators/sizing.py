@@ -1,4 +1,4 @@
-"""What a lookup weighs, measured before anything is broadcast."""
+"""What a lookup weighs, measured before anything is broadcast, and how it is joined."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabloom.durable import written_with
+
 BROADCAST_LIMIT = 64 * 1024 * 1024
 _ROW_OVERHEAD = 32
 
@@ -28,11 +30,17 @@ def _width(field: T.StructField) -> Column:
     return F.lit(16)
 
 
-def measure(df: DataFrame, key: str) -> Size:
-    """Exact rows, an upper estimate of the bytes and the rows without a key, in one aggregate."""
+def settled(df: DataFrame, key: str, purpose: str) -> tuple[DataFrame, Size]:
+    """A lookup written to shared storage, and its size: rows exactly, bytes as an upper estimate."""
     weight = reduce(Column.__add__, (_width(f) for f in df.schema), F.lit(_ROW_OVERHEAD)).cast("bigint")
-    found = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight), F.lit(0)), F.count_if(F.col(key).isNull()))
-    return Size(*found.first())
+    table, seen = written_with(
+        df,
+        purpose,
+        rows=F.count(F.lit(1)),
+        bytes=F.coalesce(F.sum(weight), F.lit(0)),
+        null_keys=F.count_if(F.col(key).isNull()),
+    )
+    return table, Size(**seen)
 
 
 def join_lookup(
@@ -40,9 +48,9 @@ def join_lookup(
 ) -> DataFrame:
     """Left join a lookup (one row per value of its first column) on ``key``.
 
-    A side measured within the limit is broadcast. A larger one is merged: being null-safe,
-    that join shuffles both sides by expressions of the key, which lets adaptive execution
-    split the partition of a hot key, the one of the rows without a key included.
+    A side measured within the limit is broadcast. A larger one is merged. Adaptive execution
+    then splits the partition of a hot key, that of the rows without a key included: the side
+    is read from storage, so both inputs of the join are plain shuffles, as this requires.
     """
     other = F.col(side.columns[0])
     if size.bytes > limit:

@@ -268,6 +268,18 @@ _sql(
     oracle="""select event_type, cast(json_extract_string(props, '$.k') as integer) as k, count(*) as events
        from events group by 1, 2""",
 )
+_sql(
+    "map_functions",
+    "events",
+    """select event_id, from_json(props, 'map<string,int>')['k'] as k,
+              size(map_keys(from_json(props, 'map<string,int>'))) as n_keys,
+              size(map_filter(from_json(props, 'map<string,int>'), (name, n) -> n > 50)) as n_high
+       from events""",
+    oracle="""select event_id, cast(json_extract_string(props, '$.k') as integer) as k,
+              cast(len(json_keys(props)) as integer) as n_keys,
+              cast(case when cast(json_extract_string(props, '$.k') as integer) > 50 then 1 else 0 end as integer) as n_high
+       from events""",
+)
 _sql(
     "array_explode",
     "documents",

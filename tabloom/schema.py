@@ -33,7 +33,12 @@ class Field(NamedTuple):
 
 def declare(specs: Iterable[str | Field]) -> list[Field]:
     """Read a declaration; every error in it is raised here, before any plan is built."""
-    fields = [s if isinstance(s, Field) else Field(*(part.strip() for part in s.split(";", 2))) for s in specs]
+    fields = []
+    for spec in specs:
+        parts = spec if isinstance(spec, Field) else [part.strip() for part in spec.split(";", 2)]
+        if len(parts) < 2:
+            raise ValueError(f"field {spec!r} has no type")
+        fields.append(Field(*parts))
     for f in fields:
         if f.type not in TYPES:
             raise ValueError(f"field {f.name!r}: unknown type {f.type!r}, expected one of {sorted(TYPES)}")
