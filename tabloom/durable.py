@@ -8,12 +8,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tabloom-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for intermediate data.
 
@@ -25,7 +31,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     if context.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tabloom-")
+        return _local_folder()
     if context._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").startswith("file:"):
         raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
     return "/tmp/tabloom"

@@ -39,25 +39,26 @@ class Scope:
     def __post_init__(self) -> None:
         self.frame = self.source
         self.helpers: list[str] = []
+        self.types = {f.name: f.dataType for f in self.source.schema}
 
     def column(self, operand: Operand) -> Column:
+        return self.typed(operand)[0]
+
+    def typed(self, operand: Operand) -> tuple[Column, T.DataType]:
+        """The operand as a column, and its type."""
         if isinstance(operand, Expr):
-            return operand.build(self)
+            column = operand.build(self)
+            return column, self.frame.select(column.alias("v")).schema["v"].dataType
         if isinstance(operand, Column):
             # Resolving against the input alone keeps sibling outputs of the stage out of
             # reach; Spark would otherwise bind them as lateral column aliases.
-            self.source.select(operand)
-            return operand
-        if operand in self.source.columns:
-            return F.col(quoted(operand))
+            return operand, self.source.select(operand.alias("v")).schema["v"].dataType
+        if operand in self.types:
+            return F.col(quoted(operand)), self.types[operand]
         if self.missing_as_null:
-            return F.lit(None).cast("string")
+            return F.lit(None).cast("string"), T.StringType()
         raise ValueError(f"no column {operand!r} in {self.source.columns}")
 
-    def typed(self, operand: Operand) -> tuple[Column, T.DataType]:
-        column = self.column(operand)
-        return column, self.frame.select(column.alias("v")).schema["v"].dataType
-
     def text(self, operand: Operand, what: str) -> Column:
         """A string operand; anything else is a mistake found while planning."""
         column, data_type = self.typed(operand)

@@ -31,27 +31,39 @@ def _fixed_offset(zone: str) -> timedelta | None:
     return timezone(delta if m[1] == "+" else -delta).utcoffset(None)
 
 
+def _session_shift(scope: Scope, pattern: str) -> int | None:
+    """Milliseconds from session time to GMT+8.
+
+    None if that is not one number, or if the pattern shows the zone itself.
+    """
+    offset = _fixed_offset(scope.source.sparkSession.conf.get("spark.sql.session.timeZone"))
+    if offset is None or _has_zone_field(pattern):
+        return None
+    return _OFFSET_MS - int(offset.total_seconds() * 1000)
+
+
 def _format_millis(scope: Scope, millis: Column, pattern: str) -> Column:
     """Text of an instant at GMT+8.
 
     ``date_format`` prints in the session zone. With a fixed session offset the instant is
     shifted by the difference; otherwise ``to_json`` formats, as it takes a zone of its own.
     """
-    offset = _fixed_offset(scope.source.sparkSession.conf.get("spark.sql.session.timeZone"))
-    if offset is not None and not _has_zone_field(pattern):
-        shift = _OFFSET_MS - int(offset.total_seconds() * 1000)
+    shift = _session_shift(scope, pattern)
+    if shift is not None:
         return F.date_format(F.timestamp_millis(millis + F.lit(shift)), pattern)
     options = {"timestampFormat": pattern, "timeZone": ZONE}
     as_json = F.to_json(F.struct(F.timestamp_millis(millis).alias("v")), options)
     return F.get_json_object(as_json, "$.v")
 
 
-def _parse_millis(text: Column, pattern: str) -> Column:
+def _parse_millis(scope: Scope, text: Column, pattern: str) -> Column:
     """Epoch milliseconds of date text read at GMT+8; null when it does not match."""
     if _has_zone_field(pattern):
-        instant = F.try_to_timestamp(text, F.lit(pattern))
-    else:
-        instant = F.try_to_timestamp(F.concat(text, F.lit(_OFFSET)), F.lit(pattern + " XXX"))
+        return F.unix_millis(F.try_to_timestamp(text, F.lit(pattern)))
+    shift = _session_shift(scope, pattern)
+    if shift is not None:
+        return F.unix_millis(F.try_to_timestamp(text, F.lit(pattern))) - F.lit(shift)
+    instant = F.try_to_timestamp(F.concat(text, F.lit(_OFFSET)), F.lit(pattern + " XXX"))
     return F.unix_millis(instant)
 
 
@@ -82,7 +94,7 @@ def strptime(x: Operand, pattern: str, on_error: str = "raise") -> Expr:
 
     def build(scope: Scope) -> Column:
         text = scope.text(x, "strptime")
-        return _or_fail(_parse_millis(text, pattern), text, on_error, f"a date like {pattern}").cast("string")
+        return _or_fail(_parse_millis(scope, text, pattern), text, on_error, f"a date like {pattern}").cast("string")
 
     return Expr(build)
 
@@ -92,7 +104,7 @@ def reformat_date(x: Operand, from_pattern: str, to_pattern: str) -> Expr:
 
     def build(scope: Scope) -> Column:
         text = scope.text(x, "reformat_date")
-        changed = _format_millis(scope, _parse_millis(text, from_pattern), to_pattern)
+        changed = _format_millis(scope, _parse_millis(scope, text, from_pattern), to_pattern)
         return F.when(text.isNotNull(), F.coalesce(changed, F.lit("")))
 
     return Expr(build)

@@ -1,3 +1,5 @@
+import math
+import random
 import struct
 
 import pytest
@@ -74,6 +76,26 @@ def test_encoding_is_big_endian(spark):
         }
 
 
+def test_every_double_keeps_its_bits(spark):
+    """Powers of two and their neighbours, subnormal numbers, zeros, infinities, random bits."""
+    rng = random.Random(3)
+    doubles = [0.0, -0.0, float("inf"), float("-inf"), 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308]
+    for e in range(-1074, 1024):
+        doubles += [2.0**e, -math.nextafter(2.0**e, 0), math.nextafter(2.0**e, math.inf)]
+    doubles += [struct.unpack(">d", rng.randbytes(8))[0] for _ in range(5000)]
+    doubles = [d for d in doubles if not math.isnan(d)]
+    floats = [struct.unpack(">f", rng.randbytes(4))[0] for _ in range(5000)]
+    floats += [s * 2.0**e * m for e in range(-149, 128) for s in (1, -1) for m in (1, 1.5) if e > -149 or m == 1]
+    floats = [f for f in floats if not math.isnan(f)]
+    for ddl, form, numbers in (("double", ">d", doubles), ("float", ">f", floats)):
+        df = spark.createDataFrame(list(enumerate(numbers)), f"k int, x {ddl}")
+        out = encoded(df, ["k;int", f"x;{ddl}"], "k")
+        bad = [x for i, x in enumerate(numbers) if out[struct.pack(">i", i)]["x"] != struct.pack(form, x)]
+        assert not bad
+        nan = encoded(spark.sql(f"select 1 as k, cast('NaN' as {ddl}) as x"), ["k;int", f"x;{ddl}"], "k")
+        assert nan[struct.pack(">i", 1)]["x"] == struct.pack(form, math.nan)
+
+
 def test_known_bytes(spark):
     df = spark.sql("select 258 as a, -2 as b, 1.5D as c, 1.5F as d, '沈阳' as e")
     out = encoded(df, ["a;int", "b;int", "c;double", "d;float", "e;string"], "a")[bytes.fromhex("00000102")]
