@@ -21,8 +21,8 @@ _COMPARE = {
 
 
 def number_of(text: Column) -> Column:
-    """Number written in text, thousands commas allowed; null when there is none."""
-    return F.replace(text, F.lit(","), F.lit("")).try_cast("double")
+    """Number written in digits, thousands commas allowed; null when there is none."""
+    return F.when(text.rlike("[0-9]"), F.replace(text, F.lit(","), F.lit("")).try_cast("double"))
 
 
 def if_(x: Operand, method: str, compare, then, otherwise) -> Expr:
@@ -30,7 +30,8 @@ def if_(x: Operand, method: str, compare, then, otherwise) -> Expr:
 
     Methods are ``eq ne lt le gt ge contains``. Strings compare as text, numbers as doubles
     with the number in ``compare``. A null or boolean value fails every comparison, ``ne``
-    included. Results are text, and the text ``NULL`` stands for null.
+    included; a text differs from a null it is compared with. Results are text, and the text
+    ``NULL`` stands for null.
     Python values for ``compare``, ``then`` and ``otherwise`` are literals.
     """
     if method not in _COMPARE and method != "contains":
@@ -47,6 +48,8 @@ def if_(x: Operand, method: str, compare, then, otherwise) -> Expr:
             holds = F.contains(column.cast("string"), other)
         elif isinstance(data_type, T.StringType):
             holds = _COMPARE[method](column, other)
+            if method == "ne":
+                holds |= column.isNotNull() & other.isNull()
         elif isinstance(data_type, T.NumericType):
             number, wanted = column.cast("double"), number_of(other)
             # NaN differs from every number here; Spark would rank it above all of them.

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tabloom.functions.expr import Operand
 from tabloom.operators.projection import project
@@ -59,8 +60,9 @@ class Flow:
         partition: str,
         schema: Iterable[str | Field],
         steps: Iterable[Mapping[str, Operand]] = (),
-        source_schema=None,
+        source_schema: StructType | None = None,
         persist: bool = False,
+        missing_as_null: bool = False,
     ) -> Flow:
         """A partition of an ORC dataset; without data an empty table of the schema.
 
@@ -69,9 +71,8 @@ class Flow:
         if not has_data(self.spark, partition):
             self._register(name, empty_table(self.spark, schema), persist)
             return self
-        return self.source(
-            name, read_partition(self.spark, table, partition, source_schema), steps, schema, persist
-        )
+        scan = read_partition(self.spark, table, partition, source_schema)
+        return self.source(name, scan, steps, schema, persist, missing_as_null)
 
     def table(self, name: str, statement: str, partition_by: str | None = None, persist: bool = False) -> Flow:
         """Name an intermediate result, optionally hash-partitioned by a column.
