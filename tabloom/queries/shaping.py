@@ -17,6 +17,27 @@ def project_cast(spark, sf):
     return project(table(spark, sf, "customer"), schema)
 
 
+@query(
+    "project_types",
+    """select cast(l_orderkey as integer) as l_orderkey, cast(l_linenumber as smallint) as l_linenumber,
+              cast(l_quantity as bigint) as l_quantity, cast(cast(l_extendedprice as float) as double) as l_extendedprice,
+              l_tax <> 0 as l_tax, l_returnflag, strftime(l_shipdate, '%Y-%m-%d') as l_shipdate from lineitem""",
+)
+def project_types(spark, sf):
+    schema = [
+        "l_orderkey;int",
+        "l_linenumber;short",
+        "l_quantity;long",
+        "l_extendedprice;float",
+        "l_tax;boolean",
+        "l_returnflag;string",
+        "l_shipdate;date",
+    ]
+    typed = project(table(spark, sf, "lineitem"), schema)
+    as_double, as_text = F.col("l_extendedprice").cast("double"), F.col("l_shipdate").cast("string")
+    return typed.withColumns({"l_extendedprice": as_double, "l_shipdate": as_text})
+
+
 @query(
     "rename_positional",
     "select c_name as c_mktsegment, c_mktsegment as c_name, c_custkey as id from customer",

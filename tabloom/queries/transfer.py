@@ -102,6 +102,21 @@ def cells_wide(spark, sf):
     return cells_to_wide(_customer_cells(spark, sf), names, version="version")
 
 
+@query(
+    "cells_declared",
+    """select cast(c_custkey as varchar) as rowkey, c_mktsegment as "d:segment" from customer
+       where c_mktsegment <> 'BUILDING'""",
+)
+def cells_declared(spark, sf):
+    """Only rows that have a declared cell, read without the other cells."""
+    customer = table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string"), "c_name", F.nullif("c_mktsegment", F.lit("BUILDING"))
+    )
+    cells = wide_to_cells(customer, ["id;string", "name;string", "segment;string"], row="id", family="d")
+    stored = cells.withColumn("rowkey", F.col("rowkey").cast("string"))
+    return cells_to_wide(stored, ["d:segment"], keep_empty=False)
+
+
 @query(
     "wide_to_cells",
     """with c as (select hex(encode(c_name)) as rowkey, * from customer)
