@@ -48,12 +48,17 @@ def join_lookup(
 ) -> DataFrame:
     """Left join a lookup (one row per value of its first column) on ``key``.
 
-    A side measured within the limit is broadcast. A larger one is merged. Adaptive execution
-    then splits the partition of a hot key, that of the rows without a key included: the side
-    is read from storage, so both inputs of the join are plain shuffles, as this requires.
+    A side measured within the limit is broadcast. A larger one is shuffled, and hashed in each
+    partition while its share there stays within the limit, which spares sorting the table;
+    beyond that the two are merged. Adaptive execution splits the partition of a hot key in
+    either case, that of the rows without a key included: the side is read from storage, so
+    both inputs of the join are plain shuffles, as this requires.
     """
     other = F.col(side.columns[0])
-    if size.bytes > limit:
-        return df.join(side.hint("merge"), key.eqNullSafe(other), "left")
-    # Without a null key to find, plain equality does, and it has the cheaper hash table.
-    return df.join(F.broadcast(side), key.eqNullSafe(other) if null_keys else key == other, "left")
+    if size.bytes <= limit:
+        # Without a null key to find, plain equality does, and it has the cheaper hash table.
+        return df.join(F.broadcast(side), key.eqNullSafe(other) if null_keys else key == other, "left")
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # keys are unique, so they spread evenly
+    how = "shuffle_hash" if size.bytes / partitions <= limit else "merge"
+    return df.join(side.hint(how), key.eqNullSafe(other), "left")
