@@ -155,7 +155,7 @@ class _Index:
         ends = ranges.select(F.explode(F.array("lo", "hi")).alias("p")).distinct()
         shares = [i / slabs for i in range(1, slabs)]
         quantiles = ends.agg(F.percentile_approx("p", shares, 100 * slabs)).first()[0]
-        cuts = sorted(set(quantiles))
+        cuts = sorted(q for q in set(quantiles) if math.isfinite(q))
         levels = len(cuts).bit_length()
 
         at = _position(_position(ranges, cuts, "lo", "a"), cuts, "hi", "b")

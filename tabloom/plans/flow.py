@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tabloom.functions.expr import Operand
+from tabloom.operators.dimension import Dimension
 from tabloom.operators.projection import project
+from tabloom.operators.ranges import RangeDimension
 from tabloom.operators.stage import stages
 from tabloom.plans.select import generated_select
 from tabloom.schema import Field
@@ -26,12 +28,12 @@ class Flow:
 
     def __init__(self, spark: SparkSession, shuffle_partitions: int | None = None):
         self.spark = spark
-        self.dimensions: dict[str, object] = {}
+        self.dimensions: dict[str, Dimension | RangeDimension] = {}
         self.outputs: list[DataFrame] = []
         if shuffle_partitions is not None:
             spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
 
-    def dimension(self, alias: str, lookup: object) -> Flow:
+    def dimension(self, alias: str, lookup: Dimension | RangeDimension) -> Flow:
         """Make a lookup known to the stages of later sources; a later one replaces it."""
         self.dimensions[alias] = lookup
         return self

@@ -112,7 +112,8 @@ def lookup_latest(spark, sf):
 def lookup_shuffled(spark, sf):
     """The way taken by a map too large to broadcast."""
     brand = Dimension(table(spark, sf, "part").select("p_partkey", "p_brand"), broadcast_limit=0)
-    lines = stage(table(spark, sf, "lineitem").select("l_partkey", "l_quantity"), {"brand": dimension(brand, "l_partkey")})
+    lines = table(spark, sf, "lineitem").select("l_partkey", "l_quantity")
+    lines = stage(lines, {"brand": dimension(brand, "l_partkey")})
     return lines.groupBy("brand").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").cast("bigint").alias("quantity")
     )

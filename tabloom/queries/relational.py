@@ -97,7 +97,7 @@ _sql(
     "agg_distinct",
     "orders",
     """select o_orderpriority, count(distinct o_custkey) as customers, count(distinct o_orderstatus) as statuses
-       from orders group by o_orderpriority""",
+       from (select distinct o_orderpriority, o_custkey, o_orderstatus from orders) t group by o_orderpriority""",
 )
 _sql(
     "select_distinct",
