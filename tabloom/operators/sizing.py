@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +43,15 @@ def settled(df: DataFrame, key: str, purpose: str) -> tuple[DataFrame, Size]:
     return table, Size(**seen)
 
 
+def split_hot_keys(spark: SparkSession) -> None:
+    """Let adaptive execution split a hot key at the price of a further shuffle.
+
+    It would otherwise leave one where two joins share a partitioning, as large lookups by the
+    same column do.
+    """
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+
+
 def join_lookup(
     df: DataFrame, key: Column, side: DataFrame, size: Size, null_keys: bool = True, limit: int = BROADCAST_LIMIT
 ) -> DataFrame:
@@ -58,6 +67,7 @@ def join_lookup(
     if size.bytes <= limit:
         # Without a null key to find, plain equality does, and it has the cheaper hash table.
         return df.join(F.broadcast(side), key.eqNullSafe(other) if null_keys else key == other, "left")
+    split_hot_keys(df.sparkSession)
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # keys are unique, so they spread evenly
     how = "shuffle_hash" if size.bytes / partitions <= limit else "merge"

@@ -12,6 +12,7 @@ from tabloom.functions.expr import Operand
 from tabloom.operators.dimension import Dimension
 from tabloom.operators.projection import project
 from tabloom.operators.ranges import RangeDimension
+from tabloom.operators.sizing import split_hot_keys
 from tabloom.operators.stage import stages
 from tabloom.plans.select import generated_select
 from tabloom.schema import Field
@@ -24,17 +25,13 @@ class Flow:
     Tables become temporary views of the session, so later SQL sees them by name. Nothing is
     cached unless asked for with ``persist=True``, which pays off only for a table that
     several results read.
-
-    A flow lets adaptive execution of the session split hot keys at the price of a further
-    shuffle. It would otherwise leave them where two joins share one partitioning, as large
-    lookups by the same column do.
     """
 
     def __init__(self, spark: SparkSession, shuffle_partitions: int | None = None):
         self.spark = spark
         self.dimensions: dict[str, Dimension | RangeDimension] = {}
         self.outputs: list[DataFrame] = []
-        spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        split_hot_keys(spark)
         if shuffle_partitions is not None:
             spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
 
