@@ -31,7 +31,7 @@ def _declared(names: list[str]) -> Column:
 def cells_to_wide(
     cells: DataFrame, names: Iterable[str], version: str | None = None, keep_empty: bool = True
 ) -> DataFrame:
-    """One row per ``rowkey`` with a text column for each declared ``family:qualifier``.
+    """One row per ``rowkey``, as text, with a text column for each declared ``family:qualifier``.
 
     Of several versions of a cell the highest ``version`` is kept. The columns are conditional
     maxima of a single grouping: one shuffle, and since each map task first reduces a key to
@@ -51,7 +51,7 @@ def cells_to_wide(
         cells.select("rowkey", name.alias("name"), cell.alias("cell"))
         .groupBy("rowkey")
         .agg(*picked)
-        .select("rowkey", *(F.col(quoted(n)).getField("value").alias(n) for n in names))
+        .select(F.col("rowkey").cast("string"), *(F.col(quoted(n)).getField("value").alias(n) for n in names))
     )
 
 

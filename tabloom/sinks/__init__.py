@@ -1,7 +1,8 @@
 """Tables to write."""
 
+from tabloom.sinks.cells import write_cells
 from tabloom.sinks.jdbc import write_jdbc
 from tabloom.sinks.orc import register_orc_table, write_orc
 from tabloom.sinks.width import output_width
 
-__all__ = ["output_width", "register_orc_table", "write_jdbc", "write_orc"]
+__all__ = ["output_width", "register_orc_table", "write_cells", "write_jdbc", "write_orc"]
