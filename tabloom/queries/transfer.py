@@ -294,7 +294,7 @@ def cells_roundtrip(spark, sf):
     path = new_folder(spark, "cells")
     text = table(spark, sf, "customer").select(F.col("c_custkey").cast("string"), "c_name", "c_mktsegment")
     write_cells(text, path, ["id;string", "name;string", "segment;string"], row="name", family="d")
-    return cells_to_wide(read_partition(spark, path), ["d:name", "d:id", "d:segment"])
+    return cells_to_wide(read_partition(spark, path), ["d:name", "d:id", "d:segment"], version="version")
 
 
 @query(

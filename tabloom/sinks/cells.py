@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tabloom.operators.cells import wide_to_cells
 from tabloom.schema import Field
@@ -21,5 +22,10 @@ def write_cells(
     partitions: int | None = None,
     shuffle: bool = False,
 ) -> None:
-    """Write each row as cells of one family, keyed by the ``row`` column; see ``wide_to_cells``."""
-    output_width(wide_to_cells(df, schema, row, family), partitions, shuffle).write.mode(mode).orc(path)
+    """Write each row as cells of one family, keyed by the ``row`` column; see ``wide_to_cells``.
+
+    ``version`` holds the time of the write in milliseconds, so that a cell written again
+    replaces the earlier one for ``cells_to_wide(..., version="version")``.
+    """
+    cells = wide_to_cells(df, schema, row, family).withColumn("version", F.unix_millis(F.current_timestamp()))
+    output_width(cells, partitions, shuffle).write.mode(mode).orc(path)

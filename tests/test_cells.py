@@ -1,6 +1,7 @@
 import math
 import random
 import struct
+import time
 
 import pytest
 from pyspark.errors import PySparkException
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of, values
 from tabloom.operators import cells_to_wide, wide_to_cells
+from tabloom.sinks import write_cells
 
 
 @pytest.fixture
@@ -131,3 +133,12 @@ def test_round_trip(spark):
     assert "Exchange" not in plan_of(cells)
     back = cells_to_wide(cells, ["d:k", "d:x", "d:y"])
     assert values(back.orderBy("rowkey")) == [("a", "a", "1", None), ("b", "b", None, "2")]
+
+
+def test_cells_written_again_replace_the_earlier_ones(spark, tmp_path):
+    path, schema = str(tmp_path / "cells"), ["k;string", "x;string", "y;string"]
+    for rows in ([("a", "9", "z"), ("b", "9", None)], [("a", "1", None)]):
+        write_cells(spark.createDataFrame(rows, "k string, x string, y string"), path, schema, row="k", family="d")
+        time.sleep(0.01)
+    back = cells_to_wide(spark.read.orc(path), ["d:x", "d:y"], version="version")
+    assert values(back.orderBy("rowkey")) == [("a", "1", "z"), ("b", "9", None)]
