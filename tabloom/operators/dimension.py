@@ -23,6 +23,8 @@ def key_value(df: DataFrame, order_by: str | None = None) -> DataFrame:
     without an order column the highest value. The maximum is combined map-side, so a key
     with very many copies costs no more than any other.
     """
+    if len(df.columns) < 2:
+        raise ValueError(f"a map needs a key and a value column, got {df.columns}")
     key, value = (F.col(quoted(c)) for c in df.columns[:2])
     by_key = df.groupBy(comparable(key, df.schema[0].dataType).alias("k"))
     if order_by is None:

@@ -43,6 +43,8 @@ def range_value(df: DataFrame) -> DataFrame:
     Keys that do not hold two numbers match nothing and are left out. Of the ranges starting
     at one point only the longest can ever win, so one row per start remains.
     """
+    if len(df.columns) not in (2, 3):
+        raise ValueError(f"a range map has 2 or 3 columns, got {df.columns}")
     if len(df.columns) == 2:
         df = df.toDF("key", "v")
         ends = F.split("key", "_")
