@@ -42,12 +42,12 @@ class Scope:
         self.types = {f.name: f.dataType for f in self.source.schema}
 
     def column(self, operand: Operand) -> Column:
-        return self.typed(operand)[0]
+        return operand.build(self) if isinstance(operand, Expr) else self.typed(operand)[0]
 
     def typed(self, operand: Operand) -> tuple[Column, T.DataType]:
         """The operand as a column, and its type."""
         if isinstance(operand, Expr):
-            column = operand.build(self)
+            column = self.column(operand)
             return column, self.frame.select(column.alias("v")).schema["v"].dataType
         if isinstance(operand, Column):
             # Resolving against the input alone keeps sibling outputs of the stage out of

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.functions.expr import Expr, Operand, Scope
-from tabloom.operators.sizing import BROADCAST_LIMIT, Size, join_lookup, settled
+from tabloom.operators.sizing import Limits, Size, join_lookup, settled
 from tabloom.schema import quoted
 
 
@@ -36,11 +36,11 @@ def key_value(df: DataFrame, order_by: str | None = None) -> DataFrame:
 class Dimension:
     """Maps under one alias; the i-th key of a lookup is searched in the i-th map."""
 
-    def __init__(self, *maps: DataFrame, order_by: str | None = None, broadcast_limit: int = BROADCAST_LIMIT):
+    def __init__(self, *maps: DataFrame, order_by: str | None = None, limits: Limits = Limits()):
         if not maps:
             raise ValueError("a dimension needs at least one map")
         self.maps = [key_value(m, order_by) for m in maps]
-        self.broadcast_limit = broadcast_limit
+        self.limits = limits
         self._settled: dict[int, tuple[DataFrame, Size]] = {}
 
     def settled(self, i: int) -> tuple[DataFrame, Size]:
@@ -87,7 +87,7 @@ def dimension(alias: str | Dimension, *keys: Operand) -> Expr:
             column = comparable(column, data_type)
             if isinstance(side.schema[k].dataType, T.LongType) != isinstance(data_type, T.IntegralType):
                 side, column = side.withColumn(k, F.col(k).cast("string")), column.cast("string")
-            scope.frame = join_lookup(scope.frame, column, side, size, size.null_keys > 0, found.broadcast_limit)
+            scope.frame = join_lookup(scope.frame, column, side, size, found.limits)
             values.append(F.col(v))
         return first_found(scope, values)
 

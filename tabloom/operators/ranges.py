@@ -29,7 +29,7 @@ from tabloom.durable import written
 from tabloom.functions.conditions import number_of
 from tabloom.functions.expr import Expr, Operand, Scope
 from tabloom.operators.dimension import find, first_found
-from tabloom.operators.sizing import BROADCAST_LIMIT, Size, join_lookup, settled
+from tabloom.operators.sizing import Limits, Size, join_lookup, settled
 
 _INF = float("inf")
 
@@ -117,17 +117,17 @@ def _tree_nodes(first: Column, last: Column, levels: int) -> Column:
 class _Index:
     """A map prepared for lookups: cut points, and a table position -> step(s) to join."""
 
-    def __init__(self, ranges: DataFrame, limits: RangeDimension):
+    def __init__(self, ranges: DataFrame, dimension: RangeDimension):
         ranges, size = settled(ranges, "lo", "ranges")
-        self.limit = limits.broadcast_limit
+        self.limits = dimension.limits
         self.per_cut = 1
-        if size.rows <= limits.local_rows and size.bytes <= limits.broadcast_limit:
+        if size.rows <= dimension.local_rows and size.bytes <= self.limits.broadcast:
             self._small(ranges, size)
         else:
             steps_expected = 3 * size.rows
-            if steps_expected > limits.local_rows:
-                self.per_cut = max(limits.steps_per_cut, math.ceil(steps_expected / limits.max_cuts))
-            steps = self._large(ranges, max(2, math.ceil(2 * size.rows / limits.slab_rows)))
+            if steps_expected > dimension.local_rows:
+                self.per_cut = max(dimension.steps_per_cut, math.ceil(steps_expected / dimension.max_cuts))
+            steps = self._large(ranges, max(2, math.ceil(2 * size.rows / dimension.slab_rows)))
             first = steps.where("i = 0").select("start").where(F.col("start") > -_INF)
             # at most max_cuts numbers, plus one for each slab of thousands of ranges
             self.cuts = sorted(r.start for r in first.collect())
@@ -204,7 +204,7 @@ class _Index:
         known = F.when(~F.isnan(number), number + F.lit(0.0))
         frame = _position(scope.frame.withColumn(x, known), self.cuts, x, position)
         side = self.table.toDF(here, steps)
-        scope.frame = join_lookup(frame, F.col(position), side, self.size, False, self.limit)
+        scope.frame = join_lookup(frame, F.col(position), side, self.size, self.limits)
         if self.per_cut == 1:
             return F.when(F.col(x).isNotNull(), F.get(F.col(steps), F.lit(0)).getField("v"))
         passed = F.filter(F.col(steps), lambda s: s["start"] <= F.col(x))
@@ -222,7 +222,7 @@ class RangeDimension:
     def __init__(
         self,
         *maps: DataFrame,
-        broadcast_limit: int = BROADCAST_LIMIT,
+        limits: Limits = Limits(),
         local_rows: int = 5_000,
         slab_rows: int = 50_000,
         steps_per_cut: int = 32,
@@ -231,7 +231,7 @@ class RangeDimension:
         if not maps:
             raise ValueError("a range dimension needs at least one map")
         self.maps = [range_value(m) for m in maps]
-        self.broadcast_limit = broadcast_limit
+        self.limits = limits
         self.local_rows = local_rows
         self.slab_rows = slab_rows
         self.steps_per_cut = steps_per_cut

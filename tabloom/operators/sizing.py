@@ -11,10 +11,16 @@ from pyspark.sql import types as T
 
 from tabloom.durable import written_with
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
 _ROW_OVERHEAD = 32
 
 
+class Limits(NamedTuple):
+    """Bytes up to which a lookup is broadcast, and beyond that its share of a partition hashed."""
+
+    broadcast: int = 64 * 1024 * 1024
+    partition: int = 64 * 1024 * 1024
+
+
 class Size(NamedTuple):
     rows: int
     bytes: int
@@ -52,23 +58,21 @@ def split_hot_keys(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
 
 
-def join_lookup(
-    df: DataFrame, key: Column, side: DataFrame, size: Size, null_keys: bool = True, limit: int = BROADCAST_LIMIT
-) -> DataFrame:
+def join_lookup(df: DataFrame, key: Column, side: DataFrame, size: Size, limits: Limits) -> DataFrame:
     """Left join a lookup (one row per value of its first column) on ``key``.
 
-    A side measured within the limit is broadcast. A larger one is shuffled, and hashed in each
-    partition while its share there stays within the limit, which spares sorting the table;
-    beyond that the two are merged. Adaptive execution splits the partition of a hot key in
+    A side measured within the limits is broadcast. A larger one is shuffled, and hashed in each
+    partition while its share there stays within them, which spares sorting the table; beyond
+    that the two are merged. Adaptive execution splits the partition of a hot key in
     either case, that of the rows without a key included: the side is read from storage, so
     both inputs of the join are plain shuffles, as this requires.
     """
     other = F.col(side.columns[0])
-    if size.bytes <= limit:
+    if size.bytes <= limits.broadcast:
         # Without a null key to find, plain equality does, and it has the cheaper hash table.
-        return df.join(F.broadcast(side), key.eqNullSafe(other) if null_keys else key == other, "left")
+        return df.join(F.broadcast(side), key.eqNullSafe(other) if size.null_keys else key == other, "left")
     split_hot_keys(df.sparkSession)
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # keys are unique, so they spread evenly
-    how = "shuffle_hash" if size.bytes / partitions <= limit else "merge"
+    how = "shuffle_hash" if size.bytes / partitions <= limits.partition else "merge"
     return df.join(side.hint(how), key.eqNullSafe(other), "left")

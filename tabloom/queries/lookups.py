@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tabloom import functions as fn
-from tabloom.operators import Dimension, RangeDimension, dimension, in_range, stage
+from tabloom.operators import Dimension, Limits, RangeDimension, dimension, in_range, stage
 from tabloom.plans import Flow
 from tabloom.queries.registry import query, table
 
@@ -104,14 +104,8 @@ def lookup_latest(spark, sf):
     )
 
 
-@query(
-    "lookup_shuffled",
-    """select p_brand as brand, count(*) as lines, cast(sum(l_quantity) as bigint) as quantity
-       from lineitem left join part on p_partkey = l_partkey group by p_brand""",
-)
-def lookup_shuffled(spark, sf):
-    """The way taken by a map too large to broadcast."""
-    brand = Dimension(table(spark, sf, "part").select("p_partkey", "p_brand"), broadcast_limit=0)
+def _lines_per_brand(spark, sf, limits):
+    brand = Dimension(table(spark, sf, "part").select("p_partkey", "p_brand"), limits=limits)
     lines = table(spark, sf, "lineitem").select("l_partkey", "l_quantity")
     lines = stage(lines, {"brand": dimension(brand, "l_partkey")})
     return lines.groupBy("brand").agg(
@@ -119,6 +113,22 @@ def lookup_shuffled(spark, sf):
     )
 
 
+_LINES_PER_BRAND = """select p_brand as brand, count(*) as lines, cast(sum(l_quantity) as bigint) as quantity
+                      from lineitem left join part on p_partkey = l_partkey group by p_brand"""
+
+
+@query("lookup_shuffled", _LINES_PER_BRAND)
+def lookup_shuffled(spark, sf):
+    """The way taken by a map too large to broadcast."""
+    return _lines_per_brand(spark, sf, Limits(broadcast=0))
+
+
+@query("lookup_merged", _LINES_PER_BRAND)
+def lookup_merged(spark, sf):
+    """The way taken by a map of which not even a partition's share fits in memory."""
+    return _lines_per_brand(spark, sf, Limits(broadcast=0, partition=0))
+
+
 @query(
     "lookup_range",
     """with bands as (select s_nationkey, min(s_acctbal) as lo, max(s_acctbal) as hi from supplier group by s_nationkey)
