@@ -1,4 +1,5 @@
 import uuid
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -229,6 +230,30 @@ def test_later_dimension_replaces(spark):
     assert values(spark.table("looked"), "v") == ["b"]
 
 
+@pytest.mark.parametrize(
+    "master, setting, file_system, folder",
+    [
+        ("spark://host:7077", "s3a://bucket/tmp/", "file:///", "s3a://bucket/tmp"),
+        ("yarn", None, "hdfs://nn:8020", "/tmp/tabloom"),
+        ("yarn", None, "file:///", None),
+    ],
+)
+def test_shared_folder_of_a_cluster(master, setting, file_system, folder):
+    """A folder of one machine is never used on a cluster."""
+
+    def get(value):
+        return SimpleNamespace(get=lambda key, default=None: value)
+
+    java_context = SimpleNamespace(hadoopConfiguration=lambda: get(file_system))
+    context = SimpleNamespace(master=master, getConf=lambda: get(setting), _jsc=java_context)
+    session = SimpleNamespace(conf=get(None), sparkContext=context)
+    if folder is None:
+        with pytest.raises(RuntimeError):
+            shared_folder(session)
+    else:
+        assert shared_folder(session) == folder
+
+
 def test_folders(spark):
     assert shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert new_folder(spark, "x") != new_folder(spark, "x")
