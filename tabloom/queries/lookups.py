@@ -72,6 +72,23 @@ def lookup_fallback(spark, sf):
     return looked_up.select("c_custkey", "name")
 
 
+@query(
+    "lookup_in_expression",
+    """select c_custkey, c_mktsegment || '/' || coalesce(s_name, 'null') as label,
+              case when contains(n_name, '1') then 1 else 0 end as has_one
+       from customer left join supplier on s_suppkey = c_custkey left join nation on n_nationkey = c_nationkey""",
+)
+def lookup_in_expression(spark, sf):
+    """Looked-up values as operands; without a match the text is null, which a join of texts spells out."""
+    supplier = Dimension(table(spark, sf, "supplier").select("s_suppkey", "s_name"))
+    nation = Dimension(table(spark, sf, "nation").select("n_nationkey", "n_name"))
+    outputs = {
+        "label": fn.add("c_mktsegment", F.lit("/"), dimension(supplier, "c_custkey")),
+        "has_one": fn.contains(dimension(nation, "c_nationkey"), "1"),
+    }
+    return stage(table(spark, sf, "customer"), outputs).select("c_custkey", *outputs)
+
+
 @query(
     "lookup_null_key",
     """select segment, count(*) as customers, max(label) as label

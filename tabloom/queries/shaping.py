@@ -85,6 +85,17 @@ def stage_swap(spark, sf):
     return stage(orders, {"o_orderstatus": "o_orderpriority", "o_orderpriority": "o_orderstatus"})
 
 
+@query(
+    "stage_missing_column",
+    "select c_custkey, cast(null as varchar) as phone, c_name || 'null' as label from customer",
+)
+def stage_missing_column(spark, sf):
+    """A column the table lacks reads as null where that is asked for."""
+    customer = table(spark, sf, "customer").select("c_custkey", "c_name")
+    outputs = {"phone": "c_phone", "label": fn.add("c_name", "c_phone")}
+    return stage(customer, outputs, missing_as_null=True).select("c_custkey", "phone", "label")
+
+
 @query(
     "stage_chain",
     """select o_orderkey,
