@@ -101,7 +101,8 @@ def to_int(spark, sf):
     return _outputs(table(spark, sf, "orders"), ["o_orderkey"], outputs)
 
 
-_RJUST = "case when length(format('{{:,}}', {0})) < {1} then lpad(format('{{:,}}', {0}), {1}, '0') else format('{{:,}}', {0}) end"
+_RJUST = """case when length(format('{{:,}}', {0})) < {1} then lpad(format('{{:,}}', {0}), {1}, '0')
+                 else format('{{:,}}', {0}) end"""
 
 
 @query(

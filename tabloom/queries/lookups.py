@@ -164,8 +164,10 @@ def lookup_range(spark, sf):
 
 @query(
     "lookup_range_fallback",
-    """with bands as (select s_nationkey, min(s_acctbal) as lo, max(s_acctbal) as hi from supplier group by s_nationkey),
-            keys as (select n_regionkey, min(n_nationkey) as lo, max(n_nationkey) as hi from nation group by n_regionkey)
+    """with bands as (select s_nationkey, min(s_acctbal) as lo, max(s_acctbal) as hi
+                      from supplier group by s_nationkey),
+            keys as (select n_regionkey, min(n_nationkey) as lo, max(n_nationkey) as hi
+                     from nation group by n_regionkey)
        select c_custkey, coalesce(
                 (select s_nationkey from bands where c_acctbal between lo and hi
                  order by lo desc, hi desc, s_nationkey desc limit 1),

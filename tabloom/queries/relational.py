@@ -42,7 +42,8 @@ _sql(
 _sql(
     "join_left",
     "customer orders",
-    f"""select c_custkey, coalesce(orders, 0) as orders from customer left join {_PER_CUSTOMER} o on o_custkey = c_custkey""",
+    f"""select c_custkey, coalesce(orders, 0) as orders
+        from customer left join {_PER_CUSTOMER} o on o_custkey = c_custkey""",
 )
 _sql(
     "join_right",
@@ -176,7 +177,8 @@ _sql(
     "orders",
     """select * from (
            select o_custkey, o_orderkey, o_totalprice,
-                  cast(row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) as int) as place
+                  cast(row_number() over (partition by o_custkey
+                                          order by o_totalprice desc, o_orderkey) as int) as place
            from orders) t
        where place <= 3""",
 )
@@ -194,7 +196,8 @@ _sql(
 _sql(
     "set_union",
     "customer supplier",
-    "select c_nationkey as nation, c_acctbal > 0 as solvent from customer union select s_nationkey, s_acctbal > 0 from supplier",
+    """select c_nationkey as nation, c_acctbal > 0 as solvent from customer
+       union select s_nationkey, s_acctbal > 0 from supplier""",
 )
 _sql(
     "set_intersect",
@@ -284,7 +287,7 @@ _sql(
        from events""",
     oracle="""select event_id, cast(json_extract_string(props, '$.k') as integer) as k,
               cast(len(json_keys(props)) as integer) as n_keys,
-              cast(case when cast(json_extract_string(props, '$.k') as integer) > 50 then 1 else 0 end as integer) as n_high
+              cast(cast(json_extract_string(props, '$.k') as integer) > 50 as integer) as n_high
        from events""",
 )
 _sql(

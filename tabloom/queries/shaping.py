@@ -20,7 +20,8 @@ def project_cast(spark, sf):
 @query(
     "project_types",
     """select cast(l_orderkey as integer) as l_orderkey, cast(l_linenumber as smallint) as l_linenumber,
-              cast(l_quantity as bigint) as l_quantity, cast(cast(l_extendedprice as float) as double) as l_extendedprice,
+              cast(l_quantity as bigint) as l_quantity,
+              cast(cast(l_extendedprice as float) as double) as l_extendedprice,
               l_tax <> 0 as l_tax, l_returnflag, strftime(l_shipdate, '%Y-%m-%d') as l_shipdate from lineitem""",
 )
 def project_types(spark, sf):

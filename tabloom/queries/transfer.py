@@ -144,7 +144,8 @@ def wide_cells(spark, sf):
        union all select rowkey, 'price', to_hex((e + 1023) * 4503599627370496
                         + cast((p_retailprice / pow(2, e) - 1) * 4503599627370496 as bigint)) from p
        union all select rowkey, 'rough', to_hex((e + 127) * 8388608
-                        + cast((cast(cast(p_retailprice as float) as double) / pow(2, e) - 1) * 8388608 as bigint)) from p
+                        + cast((cast(cast(p_retailprice as float) as double) / pow(2, e) - 1) * 8388608 as bigint))
+                 from p
        union all select rowkey, 'made', hex(encode('{"brand":"' || p_brand || '"}')) from p""",
 )
 def cells_encode(spark, sf):
@@ -176,7 +177,10 @@ def named_table(spark, sf):
         Flow(spark)
         .source("customer_input", table(spark, sf, "customer"))
         .source("order_input", table(spark, sf, "orders"))
-        .table("order_count", "select o_custkey, count(*) as orders from order_input group by o_custkey having count(*) > 5")
+        .table(
+            "order_count",
+            "select o_custkey, count(*) as orders from order_input group by o_custkey having count(*) > 5",
+        )
         .result(
             """select c_mktsegment as segment, count(*) as customers, sum(orders) as orders
                from customer_input join order_count on o_custkey = c_custkey group by c_mktsegment"""

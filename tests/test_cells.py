@@ -111,7 +111,9 @@ def test_known_bytes(spark):
 
 
 def test_nulls_and_types_without_encoding(spark):
-    df = spark.sql("select 'k' as k, cast(null as double) as d, cast(null as string) as s, 1S as sh, date'2020-01-01' as dt")
+    df = spark.sql(
+        "select 'k' as k, cast(null as double) as d, cast(null as string) as s, 1S as sh, date'2020-01-01' as dt"
+    )
     schema = ["key;string", "d;double", "s;string", "sh;short", "dt;date"]
     with pytest.warns(UserWarning, match="sh.*dt"):
         assert encoded(df, schema, "key") == {b"k": {"key": b"k"}}

@@ -19,7 +19,10 @@ SCHEMA = ["id;long", "name;string", "year;int", "month;int"]
 @pytest.fixture
 def rows(spark):
     return spark.range(48).select(
-        "id", F.concat(F.lit("n"), "id"), (F.lit(2016) + F.col("id") % 2).cast("int"), (F.col("id") % 12 + 1).cast("int")
+        "id",
+        F.concat(F.lit("n"), "id"),
+        (F.lit(2016) + F.col("id") % 2).cast("int"),
+        (F.col("id") % 12 + 1).cast("int"),
     )
 
 
@@ -82,7 +85,8 @@ def test_gathered_write_has_few_files(rows, spark, tmp_path):
 
 def test_hot_partition_is_split_when_gathered(spark, settings, tmp_path):
     path = tmp_path / "hot"
-    df = spark.range(0, 300_000, numPartitions=8).select(F.rand(1).alias("x"), (F.col("id") % 50 == 0).cast("int").alias("p"))
+    hot = (F.col("id") % 50 == 0).cast("int").alias("p")
+    df = spark.range(0, 300_000, numPartitions=8).select(F.rand(1).alias("x"), hot)
     with settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="200KB"):
         write_orc(df, str(path), ["x;double", "p;int"], ["p"], gather=True)
     assert len(list((path / "p=0").glob("part-*"))) > 1
