@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tabloom.functions.expr import Operand
@@ -15,7 +16,7 @@ from tabloom.operators.ranges import RangeDimension
 from tabloom.operators.sizing import split_hot_keys
 from tabloom.operators.stage import stages
 from tabloom.plans.select import generated_select
-from tabloom.schema import Field
+from tabloom.schema import Field, quoted
 from tabloom.sources.partitions import empty_table, has_data, read_partition
 
 
@@ -82,11 +83,14 @@ class Flow:
         """Name an intermediate result, optionally hash-partitioned by a column.
 
         The partitioning is a rebalance: rows of a key go together, but a key that holds much
-        of the data is split over several tasks instead of making one straggle.
+        of the data is split over several tasks instead of making one straggle. It goes by a
+        hash of the key, so that Spark does not count on it: a later grouping by the key
+        combines rows where they are before it shuffles what little is left.
         """
         df = self.spark.sql(statement)
         if partition_by is not None:
-            df = df.hint("rebalance", partition_by)
+            place = "__place"
+            df = df.withColumn(place, F.xxhash64(quoted(partition_by))).hint("rebalance", place).drop(place)
         self._register(name, df, persist)
         return self
 

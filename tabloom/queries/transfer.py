@@ -194,23 +194,13 @@ def named_table(spark, sf):
     """select o_custkey, count(*) as orders, max(o_orderkey) as newest from orders group by o_custkey""",
 )
 def named_repartition(spark, sf):
-    """Partitioned by a key for the grouping that follows, which then needs no shuffle.
-
-    What is partitioned has few rows per key (one per status): the rows of a key that holds
-    much of the table are combined before they meet.
-    """
     flow = (
         Flow(spark)
         .source("order_input", table(spark, sf, "orders"))
-        .table(
-            "status_by_customer",
-            """select o_custkey, o_orderstatus, count(*) as orders, max(o_orderkey) as newest
-               from order_input group by o_custkey, o_orderstatus""",
-            partition_by="o_custkey",
-        )
+        .table("order_by_customer", "select o_custkey, o_orderkey from order_input", partition_by="o_custkey")
         .result(
-            """select o_custkey, sum(orders) as orders, max(newest) as newest
-               from status_by_customer group by o_custkey"""
+            """select o_custkey, count(*) as orders, max(o_orderkey) as newest
+               from order_by_customer group by o_custkey"""
         )
     )
     return flow.union()

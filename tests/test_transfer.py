@@ -214,6 +214,18 @@ def test_flow(spark, tmp_path):
     assert spark.read.orc(path).groupBy("kind").count().orderBy("kind").collect()[0]["count"] == 30
 
 
+def test_named_table_splits_a_hot_key(spark, settings):
+    key = F.when(F.col("id") % 50 == 0, F.col("id") % 500).otherwise(F.lit(1)).alias("key")
+    rows = spark.range(0, 300_000, numPartitions=8).select(F.rand(1).alias("x"), key)
+    with settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="200KB"):
+        Flow(spark).source("raw", rows).table("by_key", "select * from raw", partition_by="key")
+        place = spark.table("by_key").select("key", "x", F.spark_partition_id().alias("task"))
+        by_key = place.groupBy("key").agg(F.collect_set("task").alias("tasks"), F.max("x"))
+        tasks = {r.key: len(r.tasks) for r in by_key.collect()}
+    # keys that hash into the hot key's partition are split along with it, the others are not
+    assert tasks[1] > 1 and min(tasks.values()) == 1
+
+
 def test_flow_without_results(spark):
     with pytest.raises(ValueError):
         Flow(spark).union()
