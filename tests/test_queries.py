@@ -2,6 +2,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 import oracle
+from tabloom.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -11,10 +12,10 @@ def duck():
     return oracle.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_oracle(spark, duck, name):
-    got = oracle.spark_rows(entry_point.queries()[name](spark, SF_DIR))
-    wanted = oracle.duck_rows(duck, entry_point.oracle_sql()[name])
+    got = oracle.spark_rows(QUERIES[name](spark, SF_DIR))
+    wanted = oracle.duck_rows(duck, ORACLES[name])
     assert got == wanted
     assert got[1], "no rows"
 
@@ -22,13 +23,13 @@ def test_query_equals_its_oracle(spark, duck, name):
 @pytest.mark.parametrize("name", ["expr_strftime", "expr_strptime", "expr_dateformat", "src_partition_scan"])
 def test_session_zone_does_not_matter(spark, duck, settings, name):
     with settings(spark__sql__session__timeZone="America/New_York"):
-        got = oracle.spark_rows(entry_point.queries()[name](spark, SF_DIR))
-    assert got == oracle.duck_rows(duck, entry_point.oracle_sql()[name])
+        got = oracle.spark_rows(QUERIES[name](spark, SF_DIR))
+    assert got == oracle.duck_rows(duck, ORACLES[name])
 
 
 def test_approximate_distinct(spark, duck):
     exact = dict(duck.execute("select o_orderpriority, count(distinct o_custkey) from orders group by 1").fetchall())
-    rows = entry_point.queries()["agg_approx_distinct"](spark, SF_DIR).collect()
+    rows = QUERIES["agg_approx_distinct"](spark, SF_DIR).collect()
     assert {r.o_orderpriority for r in rows} == set(exact)
     assert all(abs(r.customers - exact[r.o_orderpriority]) <= 0.06 * exact[r.o_orderpriority] + 1 for r in rows)
 
@@ -38,4 +39,4 @@ def test_entry(spark):
 
 
 def test_only_the_estimate_lacks_an_oracle():
-    assert set(entry_point.queries()) - set(entry_point.oracle_sql()) == {"agg_approx_distinct"}
+    assert set(QUERIES) - set(ORACLES) == {"agg_approx_distinct"}
