@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import chat_preferences, digest_index, divergence_rules, ring_sharding
+from tabloom.llm import (
+    chat_preferences,
+    digest_index,
+    divergence_rules,
+    packing,
+    personal_data,
+    ring_sharding,
+    simhash,
+)
 from tabloom.llm.registry import ORACLES, QUERIES, query, table
 from tabloom.llm.sql import ANSWERS, DIGESTS, RULES
 
@@ -24,6 +33,17 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatted.withColumns({f"{side}_spans": _spans(f"{side}_spans") for side in ("chosen", "rejected")})
 
 
+@query("op3_dominance_packing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def packed(documents: DataFrame) -> DataFrame:
+    """Where each piece of the documents goes, its ids as their checksum."""
+    pieces = packing.token_pieces(documents, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
 @query("op4_digest_index", DIGESTS)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = digest_index.temporary_index(spark)
@@ -51,3 +71,27 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = divergence_rules.assess(table(spark, sf_dir, "documents").select("doc_id", "text"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return judged.select("doc_id", *(F.col("quality")[n].alias(n) for n in names))
+
+
+@query("op8_personal_data")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal_data.find_personal_data(documents)
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*personal_data.BASE_KINDS))
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        "doc_id",
+        *(number(kind).alias(f"n_{kind}") for kind in personal_data.BASE_KINDS),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op10_simhash_tiles")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=2, shingle=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
