@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tabloom.durable import written
-from tabloom.llm import digest_index, divergence_rules
+from tabloom.llm import digest_index, divergence_rules, personal_data, simhash
+from tabloom.llm.queries import packed
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,9 +21,27 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return digest_index.distinct_documents(docs)
 
 
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the one with the smallest doc_id stays."""
+    return simhash.one_per_group(docs, radius=2, shingle=3)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data are replaced by the name of their kind; n_chars follows the text."""
+    return personal_data.masked(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 1024 tokens and their places in sequences of at most 1024."""
+    return packed(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
     ("exact_dedup", exact_dedup),
+    ("simhash_dedup", simhash_dedup),
+    ("mask_personal_data", mask_personal_data),
+    ("pack_sequences", pack_sequences),
 ]
 
 #: SimHash, checksums and packing have no SQL; the stages are tested against brute force.
