@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tabloom.llm import (
     chat_preferences,
+    chunked_bpe,
     digest_index,
     divergence_rules,
     packing,
@@ -91,6 +92,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_chunked_bpe")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return chunked_bpe.encode_documents(table(spark, sf_dir, "documents"), path, chunked_bpe.DIGESTS)
+
+
 @query("op10_simhash_tiles")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=2, shingle=3)
