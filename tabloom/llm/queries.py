@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.llm import (
+    additive_quality,
     chat_preferences,
     chunked_bpe,
     digest_index,
@@ -34,6 +35,19 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatted.withColumns({f"{side}_spans": _spans(f"{side}_spans") for side in ("chosen", "rejected")})
 
 
+@query("op2_additive_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = additive_quality.train(documents, labels.where(~additive_quality.held_out("doc_id")), "quality")
+    scored = additive_quality.score_documents(documents, model)
+    return scored.select(
+        "doc_id",
+        additive_quality.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @query("op3_dominance_packing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
