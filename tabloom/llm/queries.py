@@ -16,6 +16,7 @@ from tabloom.llm import (
     personal_data,
     ring_sharding,
     simhash,
+    wrapper_extraction,
 )
 from tabloom.llm.registry import ORACLES, QUERIES, query, table
 from tabloom.llm.sql import ANSWERS, DIGESTS, RULES
@@ -88,6 +89,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(F.col("quality")[n].alias(n) for n in names))
 
 
+@query("op7_wrapper_extraction")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrapper_extraction.extract_main_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 @query("op8_personal_data")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
