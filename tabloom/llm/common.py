@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +33,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, _UPPER, _UPPER.lower())
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it is used and wherever filters go."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Each name, with underscores added until the table has no such column."""
     taken = {c.lower() for c in df.columns}

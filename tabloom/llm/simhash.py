@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.durable import written
-from tabloom.llm.common import ascii_lower, fresh, ship, text_of, words_of
+from tabloom.llm.common import ascii_lower, fresh, let, ship, text_of, words_of
 from tabloom.llm.components import components
 
 _BYTES = 8
@@ -43,21 +43,16 @@ _SLICE = 1 << 16
 
 def shingle_hashes(text: Column | str, shingle: int = 3) -> Column:
     """XXH64 (seed 42) of every run of ``shingle`` words, repeats included."""
-    words = words_of(ascii_lower(text_of(text)))
-    # bound once, by a one-element array
-    return F.get(
-        F.transform(
-            F.array(words),
-            lambda w: F.when(F.size(w) == 0, F.array().cast("array<bigint>"))
-            .when(F.size(w) < shingle, F.array(F.xxhash64(F.array_join(w, " "))))
-            .otherwise(
-                F.transform(
-                    F.sequence(F.lit(1), F.size(w) - (shingle - 1)),
-                    lambda i: F.xxhash64(F.concat_ws(" ", *(F.element_at(w, i + k) for k in range(shingle)))),
-                )
-            ),
+    return let(
+        words_of(ascii_lower(text_of(text))),
+        lambda w: F.when(F.size(w) == 0, F.array().cast("array<bigint>"))
+        .when(F.size(w) < shingle, F.array(F.xxhash64(F.array_join(w, " "))))
+        .otherwise(
+            F.transform(
+                F.sequence(F.lit(1), F.size(w) - (shingle - 1)),
+                lambda i: F.xxhash64(F.concat_ws(" ", *(F.element_at(w, i + k) for k in range(shingle)))),
+            )
         ),
-        0,
     )
 
 
@@ -70,18 +65,19 @@ def majority(hashes: np.ndarray) -> np.uint64:
     return np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0]
 
 
-def _majorities(hashes: pa.Array) -> pa.Array:
-    if isinstance(hashes, pa.ChunkedArray):
-        hashes = hashes.combine_chunks()
-    flat, ends = hashes.values.to_numpy(), hashes.offsets.to_numpy()
-    found = np.array([majority(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], np.uint64)
-    return pa.array(found.view(np.int64), pa.int64())
+def _majorities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        flat, ends = batch.column(1).values.to_numpy(), batch.column(1).offsets.to_numpy()
+        found = np.array([majority(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], np.uint64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64), pa.int64())], ["id", "f"])
 
 
-def fingerprints(documents: DataFrame, out: str = "fingerprint", text: str = "text", shingle: int = 3) -> DataFrame:
-    """Add the fingerprint as a bigint of the same 64 bits."""
+def fingerprints(documents: DataFrame, shingle: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, fingerprint) of every row: ``key``, and the 64 bits as a bigint."""
     ship(documents.sparkSession)
-    return documents.withColumn(out, F.arrow_udf(_majorities, "bigint")(shingle_hashes(text, shingle)))
+    kind = documents.schema[key].dataType.simpleString()
+    hashed = documents.select(F.col(key).alias("id"), shingle_hashes(text, shingle).alias("hashes"))
+    return hashed.mapInArrow(_majorities, f"id {kind}, fingerprint bigint")
 
 
 def _steps(radius: int) -> list[int]:
@@ -203,10 +199,7 @@ def near_duplicates(
     documents: DataFrame, radius: int = 2, shingle: int = 3, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``key``, fingerprint and component_id (the smallest ``key`` of the group) of every row."""
-    prints = written(
-        fingerprints(documents.select(F.col(key).alias("id"), F.col(text).alias("text")), shingle=shingle).drop("text"),
-        "fingerprints",
-    )
+    prints = written(fingerprints(documents, shingle, key, text), "fingerprints")
     nodes = written(prints.groupBy("fingerprint").agg(F.min("id").alias("least")), "nodes")
     roots = components(links(nodes, radius)).select(F.col("node").alias("fingerprint"), "root")
     grouped = written(
