@@ -1,0 +1,73 @@
+import hashlib
+
+from tabloom.durable import new_folder
+from tabloom.llm import digest_index as d
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def digest(text):
+    return hashlib.sha256((text or "").translate(LOWER).encode()).digest()
+
+
+def index(spark, name):
+    return d.DigestIndex(spark, name, new_folder(spark, name), buckets=4)
+
+
+def test_odd_documents_against_brute_force(spark, odd):
+    rows = odd.select("doc_id", "text").collect()
+    groups = {}
+    for r in rows:
+        groups.setdefault(digest(r.text), []).append(r.doc_id)
+    own = d.temporary_index(spark)
+    got = d.deduplicate(odd, own).collect()
+    own.forget()
+    assert len(got) == len(rows)
+    for r in got:
+        ids = groups[bytes(r.digest)]
+        assert r.group_size == len(ids)
+        assert r.keep_id == max((i for i in ids if i is not None), default=None)
+    kept = [(bytes(r.digest), r.doc_id) for r in got if r.kept]
+    assert sorted(k for k, _ in kept) == sorted(groups)
+    assert all(i == max((x for x in groups[k] if x is not None), default=None) for k, i in kept)
+
+
+def test_empty_table(spark, none):
+    assert d.deduplicate(none, d.temporary_index(spark)).count() == 0
+    assert d.distinct_documents(none).count() == 0
+
+
+def test_rows_keep_their_columns(odd):
+    got = d.distinct_documents(odd)
+    assert got.columns == odd.columns
+    texts = [digest(r.text) for r in got.collect()]
+    assert len(texts) == len(set(texts)) == len({digest(r.text) for r in odd.collect()})
+
+
+def test_a_second_batch_meets_the_first(spark):
+    own = index(spark, "digest_two_batches")
+    first = spark.createDataFrame([(1, "A"), (2, "b")], "doc_id bigint, text string")
+    second = spark.createDataFrame([(9, "a"), (8, "c"), (7, "C")], "doc_id bigint, text string")
+    assert {r.doc_id: r.kept for r in d.deduplicate(first, own).collect()} == {1: True, 2: True}
+    got = {r.doc_id: (r.keep_id, r.kept, r.group_size) for r in d.deduplicate(second, own).collect()}
+    assert got == {9: (1, False, 1), 8: (8, True, 2), 7: (8, False, 2)}
+    assert own.table().count() == 3
+    own.forget()
+
+
+def test_the_anti_join_reads_the_buckets_without_a_shuffle(spark, settings):
+    own = index(spark, "digest_plan")
+    own.append(spark.sql("select unhex('00') digest, 1L keep_id, 'x' batch"))
+    with settings(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1"):
+        new = spark.range(5).selectExpr("unhex(hex(id)) digest").repartition(own.buckets, "digest")
+        plan = new.join(own.table().hint("merge"), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "LeftAnti" in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    own.forget()
+
+
+def test_copies_are_reduced_before_the_shuffle(spark):
+    many = spark.range(3000).selectExpr("id doc_id", "if(id % 3 = 0, 'same', concat('t', id)) text")
+    got = d.deduplicate(many, d.temporary_index(spark))
+    assert got.where("group_size = 1000 and keep_id = 2997").count() == 1000
+    assert got.where("kept").count() == 2001
