@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tabloom.durable import written
 from tabloom.llm.bpe import load
 from tabloom.llm.common import fresh, ship
-from tabloom.llm.ranking import numbered
+from tabloom.ranking import numbered
 
 _DOCUMENTS_AT_ONCE = 512
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.durable import written
-from tabloom.llm.ranking import numbered
+from tabloom.ranking import numbered
 
 PLACE_BITS = 16
 
