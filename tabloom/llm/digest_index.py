@@ -118,11 +118,13 @@ def distinct_documents(documents: DataFrame, text: str = "text", key: str = "doc
     index = temporary_index(documents.sparkSession)
     kept = deduplicate(documents, index, text, key).where("kept")
     index.forget()
-    digest, kept_key = fresh(documents, "digest", "kept_key")
-    kept = written(kept.select(F.col(key).alias(kept_key), F.col("digest").alias(f"{digest}_kept")), "kept")
-    rows = documents.withColumn(digest, text_digest(text))
-    found = rows.join(
-        kept, rows[key].eqNullSafe(kept[kept_key]) & (rows[digest] == kept[f"{digest}_kept"]), "left_semi"
-    )
-    # a row that repeats another's key and text passes the join with it
-    return found.dropDuplicates([key, digest]).drop(digest)
+    mark = fresh(documents, "mark")[0]
+
+    def marked(df: DataFrame, digest: Column) -> DataFrame:
+        """Key and digest in one column that is never null: what the join and the last step are dealt by."""
+        return df.withColumn(mark, F.concat(digest, F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")))
+
+    kept = written(marked(kept, F.col("digest")).select(mark), "kept")
+    found = marked(documents, text_digest(text)).join(kept.hint("merge"), mark, "left_semi")
+    # a row that repeats another's key and text passes the join with it; equal marks are neighbours already
+    return found.dropDuplicates([mark]).drop(mark)

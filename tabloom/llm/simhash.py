@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.durable import written
-from tabloom.llm.common import ascii_lower, fresh, let, ship, text_of, words_of
+from tabloom.llm.common import ascii_lower, let, ship, text_of, words_of
 from tabloom.llm.components import components
 
 _BYTES = 8
@@ -215,11 +215,10 @@ def one_per_group(
 ) -> DataFrame:
     """The document of each group with the smallest ``key``, all columns as they were.
 
-    Rows that share a ``key`` stay or go together; rows without one stay only in groups that have none.
+    Rows that share a ``key`` stay or go together; rows without one stay, as there is nothing to
+    tell them by. The join is with the keys that go, which are fewer than those that stay.
     """
     found = near_duplicates(documents, radius, shingle, key, text)
-    name = fresh(documents, "kept_key")[0]
-    kept = written(
-        found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias(name)).distinct(), "kept"
-    )
-    return documents.join(kept, documents[key].eqNullSafe(kept[name]), "left_semi")
+    stays = F.max(F.col(key) == F.col("component_id")).alias("stays")
+    gone = written(found.where(F.col(key).isNotNull()).groupBy(key).agg(stays).where("not stays").select(key), "gone")
+    return documents.join(gone, key, "left_anti").select(*documents.columns)
