@@ -20,7 +20,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import NOT_WORD, WHITE, fresh, text_of, words_of
+from tabloom.llm.common import NOT_WORD, WHITE, let, text_of, words_of
 
 # The most frequent words of each language, the most frequent first.
 COMMON_WORDS = {
@@ -69,83 +69,92 @@ def _js_distance(pairs: list[tuple[Column, float]]) -> Column:
 
 
 def _windows(words: Column) -> Column:
-    """The hash and place of every three words that follow one another."""
+    """The hash of every three words that follow one another."""
     return F.transform(
         F.sequence(F.lit(1), F.size(words) - 2),
-        lambda i: F.struct(
-            F.xxhash64(F.element_at(words, i), F.element_at(words, i + 1), F.element_at(words, i + 2)).alias("h"),
-            i.alias("i"),
-        ),
+        lambda i: F.xxhash64(F.element_at(words, i), F.element_at(words, i + 1), F.element_at(words, i + 2)),
     )
 
 
-def assess(documents: DataFrame, out: str = "quality", text: str = "text", limits: Limits = Limits()) -> DataFrame:
-    """Add the struct ``out``: the counts, base_failed, the two distances and kept."""
-    words, wins, places, chars, common, counts = fresh(
-        documents, "words", "windows", "places", "chars", "common", "counts"
-    )
-    whole = text_of(text)
-    df = documents.withColumn(words, words_of(whole))
-
-    # Sorted by hash, equal windows are neighbours. The places of those found twice or more are then
-    # walked in order, each adding the words that the last did not reach.
-    n_words = F.size(words)
-    none = F.array().cast("array<struct<h:bigint,i:int>>")
-    df = df.withColumn(wins, F.when(n_words < 3, none).otherwise(F.sort_array(_windows(F.col(words)))))
-    repeated = F.filter(
-        wins,
-        lambda w, k: F.coalesce(w["h"] == F.get(wins, k - 1)["h"], F.lit(False))
-        | F.coalesce(w["h"] == F.get(wins, k + 1)["h"], F.lit(False)),
-    )
-    df = df.withColumn(places, F.sort_array(F.transform(repeated, lambda w: w["i"])))
-    n_repeat = F.aggregate(
-        F.transform(places, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(places, k + 1) - p, F.lit(3)))),
-        F.lit(0),
-        lambda total, n: total + n,
-    )
+def _repeated_words(words: Column) -> Column:
+    """The words in windows of three found twice or more.
+
+    A text whose windows all differ has none. Otherwise, sorted by hash, equal windows are
+    neighbours; the places of repeated ones are walked in order, each adding the words that the
+    last did not reach.
+    """
 
-    lines = F.filter(F.split(whole, "\n", -1), lambda line: F.btrim(line, F.lit(WHITE)) != "")
-    n_chars = F.length(F.regexp_replace(whole, NOT_WORD, ""))
-    classes = {name: F.length(F.regexp_replace(whole, rest, "")) for name, rest in _CLASSES.items()}
-    df = df.withColumn(
-        counts,
-        F.struct(
-            n_words.cast("bigint").alias("n_words"),
-            n_chars.cast("bigint").alias("word_chars"),
-            F.regexp_count(whole, F.lit(r"[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
-            (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
-            n_repeat.cast("bigint").alias("n_repeat_words"),
-        ),
+    def covered(hashes: Column) -> Column:
+        placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        equal = lambda a, b: F.coalesce(a["h"] == b["h"], F.lit(False))
+        repeated = let(
+            placed, lambda all_: F.filter(all_, lambda w, k: equal(w, F.get(all_, k - 1)) | equal(w, F.get(all_, k + 1)))
+        )
+        return let(
+            F.sort_array(F.transform(repeated, lambda w: w["i"])),
+            lambda places: F.aggregate(
+                F.transform(places, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(places, k + 1) - p, F.lit(3)))),
+                F.lit(0),
+                lambda total, n: total + n,
+            ),
+        )
+
+    differ = lambda hashes: F.size(F.array_distinct(hashes)) == F.size(hashes)
+    return F.when(F.size(words) < 3, F.lit(0)).otherwise(
+        let(_windows(words), lambda hashes: F.when(differ(hashes), F.lit(0)).otherwise(covered(hashes)))
     )
-    df = df.withColumn(chars, F.struct(*(c.alias(n) for n, c in classes.items())))
 
-    # the common words of the text as " the  of  and ", in which each is counted by leaving it out
+
+def _counts(text: Column, words: Column) -> Column:
+    lines = F.filter(F.split(text, "\n", -1), lambda line: F.btrim(line, F.lit(WHITE)) != "")
+    whole = {
+        "n_words": F.size(words),
+        "word_chars": F.length(F.regexp_replace(text, NOT_WORD, "")),
+        "n_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")),
+        "n_dup_lines": let(lines, lambda found: F.size(found) - F.size(F.array_distinct(found))),
+        "n_repeat_words": _repeated_words(words),
+    } | {name: F.length(F.regexp_replace(text, others, "")) for name, others in _CLASSES.items()}
+    return F.struct(*(n.cast("bigint").alias(name) for name, n in whole.items()), _listed(words).alias("listed"))
+
+
+def _listed(words: Column) -> Column:
+    """The common words of the text as " the  of  and ", in which each is counted by leaving it out."""
     every = sorted({w for listed in COMMON_WORDS.values() for w in listed})
-    bare = F.transform(words, lambda w: F.lower(F.btrim(w, F.lit(_EDGES))))
-    listed = F.filter(bare, lambda w: w.isin(every))
-    df = df.withColumn(common, F.concat(F.lit(" "), F.array_join(listed, "  "), F.lit(" ")))
+    short = F.filter(words, lambda w: F.length(F.btrim(w, F.lit(_EDGES))) <= max(map(len, every)))
+    bare = F.transform(short, lambda w: F.lower(F.btrim(w, F.lit(_EDGES))))
+    return F.concat(F.lit(" "), F.array_join(F.filter(bare, lambda w: w.isin(every)), "  "), F.lit(" "))
 
-    size = F.greatest(F.col(counts)["n_words"], F.lit(1)).cast("double")
+
+def _distances(counts: Column) -> Column:
+    size = F.greatest(counts["n_words"], F.lit(1)).cast("double")
+    held = F.greatest(counts["word_chars"], F.lit(1)).cast("double")
 
     def share(word: str) -> Column:
-        without = F.replace(F.col(common), F.lit(f" {word} "), F.lit(""))
-        return (F.length(common) - F.length(without)) / F.lit(len(word) + 2) / size
+        without = F.replace(counts["listed"], F.lit(f" {word} "), F.lit(""))
+        return (F.length(counts["listed"]) - F.length(without)) / F.lit(len(word) + 2) / size
 
     def to_language(listed: list[str]) -> Column:
-        pairs = [(share(w), zipf(r)) for r, w in enumerate(listed, 1)]
-        rest = F.lit(1.0) - reduce(Column.__add__, (p for p, _ in pairs))
-        return _js_distance([*pairs, (F.greatest(rest, F.lit(0.0)), 1 - sum(q for _, q in pairs))])
-
-    held = {n: F.col(chars)[n].cast("double") for n in _CLASSES}
-    n_held = F.greatest(F.col(counts)["word_chars"], F.lit(1)).cast("double")
-    other = F.col(counts)["word_chars"] - reduce(Column.__add__, held.values())
-    shares = {n: c / n_held for n, c in held.items()} | {"other": F.greatest(other, F.lit(0.0)) / n_held}
-    from_characters = _js_distance([(shares[n], q) for n, q in CHARACTER_SHARES.items()])
-    from_words = F.least(*(to_language(listed) for listed in COMMON_WORDS.values()))
-
-    distances = fresh(df, "distances")[0]
-    df = df.withColumn(distances, F.struct(from_characters.alias("characters"), from_words.alias("words")))
-    c, d = F.col(counts), F.col(distances)
+        places = range(len(listed))
+        shares = F.array(*(share(w) for w in listed))
+
+        def distance(p: Column) -> Column:
+            rest = F.lit(1.0) - reduce(Column.__add__, (p[r] for r in places))
+            pairs = [(p[r], zipf(r + 1)) for r in places]
+            return _js_distance([*pairs, (F.greatest(rest, F.lit(0.0)), 1 - sum(q for _, q in pairs))])
+
+        return let(shares, distance)
+
+    classes = {n: counts[n] / held for n in _CLASSES}
+    other = F.lit(1.0) - reduce(Column.__add__, classes.values())
+    pairs = [(classes[n], q) for n, q in CHARACTER_SHARES.items() if n != "other"]
+    pairs.append((F.greatest(other, F.lit(0.0)), CHARACTER_SHARES["other"]))
+    return F.struct(
+        _js_distance(pairs).alias("characters"),
+        F.least(*(to_language(listed) for listed in COMMON_WORDS.values())).alias("words"),
+    )
+
+
+def _verdict(c: Column, d: Column, limits: Limits) -> Column:
     base_failed = (c["n_words"] < 50) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
 
     def beyond(part: float) -> tuple[Column, Column]:
@@ -156,17 +165,29 @@ def assess(documents: DataFrame, out: str = "quality", text: str = "text", limit
 
     (by_characters, by_words), (near_characters, near_words) = beyond(1.0), beyond(limits.jointly)
     far = by_characters | by_words | (near_characters & near_words)
-    fields = [c[n].alias(n) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-    fields += [
+    return F.struct(
+        *(c[n].alias(n) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
         base_failed.alias("base_failed"),
         d["characters"].alias("character_distance"),
         d["words"].alias("word_distance"),
         (~base_failed & ~far).alias("kept"),
-    ]
-    return df.select(*(documents[name] for name in documents.columns), F.struct(*fields).alias(out))
+    )
+
+
+def quality_of(text: Column | str, limits: Limits = Limits()) -> Column:
+    """The struct of counts, base_failed, the two distances and kept, as one expression."""
+
+    def judge(content: Column, words: Column) -> Column:
+        return let(_counts(content, words), lambda c: let(_distances(c), lambda d: _verdict(c, d, limits)))
+
+    return let(text_of(text), lambda content: let(words_of(content), lambda words: judge(content, words)))
+
+
+def assess(documents: DataFrame, out: str = "quality", text: str = "text", limits: Limits = Limits()) -> DataFrame:
+    """Add the struct ``out`` of ``quality_of``."""
+    return documents.withColumn(out, quality_of(text, limits))
 
 
 def passing(documents: DataFrame, text: str = "text", limits: Limits = Limits()) -> DataFrame:
     """The documents that pass, all columns as they were."""
-    out = fresh(documents, "quality")[0]
-    return assess(documents, out, text, limits).where(F.col(out)["kept"]).drop(out)
+    return documents.where(quality_of(text, limits)["kept"])
