@@ -42,15 +42,23 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows as a table of their own."""
-    path = new_folder(df.sparkSession, purpose)
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder made here, whatever file system it is on."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def written(df: DataFrame, purpose: str, under: str | None = None) -> DataFrame:
+    """The rows as a table of their own, in the folder ``under`` if one is given."""
+    path = f"{under}/{purpose}-{uuid.uuid4().hex}" if under else new_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def written_with(df: DataFrame, purpose: str, **metrics: Column) -> tuple[DataFrame, dict]:
+def written_with(
+    df: DataFrame, purpose: str, under: str | None = None, **metrics: Column
+) -> tuple[DataFrame, dict]:
     """The rows as a table, and aggregates over them taken while writing."""
     seen = Observation(purpose)
-    table = written(df.observe(seen, *(c.alias(n) for n, c in metrics.items())), purpose)
+    table = written(df.observe(seen, *(c.alias(n) for n, c in metrics.items())), purpose, under)
     return table, seen.get

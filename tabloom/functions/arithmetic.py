@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tabloom.functions.expr import Expr, Operand, Scope
 
 _INT = (T.ByteType, T.ShortType, T.IntegerType)
+_WHOLE = (*_INT, T.LongType)
 _FAMILIES = ((T.StringType,), _INT, (T.LongType,), (T.FloatType,), (T.DoubleType,))
 _SPAN, _HALF = 2**32, 2**31
 
@@ -24,7 +25,7 @@ def add(first: Operand, *rest: Operand) -> Expr:
     """Fold operands by the type of the first.
 
     Strings are joined (a later null appends the text ``null``), integers add with 32-bit
-    wrap-around, long, float and double add as such. A null first operand gives null, and so
+    wrap-around, long, float and double add as such. Whole numbers of different width add as long. A null first operand gives null, and so
     does one of any other type. One operand alone is passed through with its type.
     """
 
@@ -36,8 +37,11 @@ def add(first: Operand, *rest: Operand) -> Expr:
         family = next((f for f in _FAMILIES if isinstance(head_type, f)), None)
         if family is None:
             return F.lit(None).cast("string")
+        if family == _INT and any(isinstance(t, T.LongType) for _, t in tail):
+            family, head_type = (T.LongType,), T.LongType()
+        accepted = _WHOLE if family == (T.LongType,) else family
         for _, data_type in tail:
-            if not isinstance(data_type, (*family, T.NullType)):
+            if not isinstance(data_type, (*accepted, T.NullType)):
                 raise TypeError(f"cannot add {data_type.simpleString()} to {head_type.simpleString()}")
         columns = [head, *(c for c, _ in tail)]
         if family == (T.StringType,):

@@ -19,10 +19,15 @@ _COMPARE = {
     "ge": operator.ge,
 }
 
+_NUMBER = r"\A-?([0-9][0-9,]*(\.[0-9]*)?|\.[0-9]+)(E-?[0-9]+)?\z"
+
 
 def number_of(text: Column) -> Column:
-    """Number written in digits, thousands commas allowed; null when there is none."""
-    return F.when(text.rlike("[0-9]"), F.replace(text, F.lit(","), F.lit("")).try_cast("double"))
+    """Number written in digits, thousands commas allowed; null when there is none.
+
+    A minus sign may come first and ``E`` brings an exponent. A plus sign, blanks and ``e`` make no number.
+    """
+    return F.when(text.rlike(_NUMBER), F.replace(text, F.lit(","), F.lit("")).try_cast("double"))
 
 
 def if_(x: Operand, method: str, compare, then, otherwise) -> Expr:
@@ -42,7 +47,7 @@ def if_(x: Operand, method: str, compare, then, otherwise) -> Expr:
         return F.nullif(text, F.lit("NULL"))
 
     def build(scope: Scope) -> Column:
-        column, data_type = scope.typed(x)
+        column, data_type = scope.single(x)
         other = scope.column(literal(compare)).cast("string")
         if method == "contains":
             holds = F.contains(column.cast("string"), other)

@@ -43,7 +43,7 @@ def to_int(x: Operand, on_error: str = "raise") -> Expr:
     """
 
     def build(scope: Scope) -> Column:
-        column, data_type = scope.typed(x)
+        column, data_type = scope.single(x)
         if isinstance(data_type, T.StringType):
             return F.when(column.isNull(), F.lit(0)).otherwise(parse_int(column, on_error))
         if isinstance(data_type, _SMALL_INT):
@@ -65,9 +65,9 @@ def rjust(x: Operand, width: int, on_error: str = "raise") -> Expr:
     pattern = f"%1$,0{int(width)}d"
 
     def build(scope: Scope) -> Column:
-        column, data_type = scope.typed(x)
+        column, data_type = scope.single(x)
         if isinstance(data_type, T.StringType):
-            number = parse_int(column, on_error)
+            number = scope.bound(parse_int(column, on_error))
             return F.when(number.isNotNull(), F.format_string(pattern, number))
         if isinstance(data_type, _SMALL_INT):
             return F.when(column.isNotNull(), F.format_string(pattern, column.cast("int")))

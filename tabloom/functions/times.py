@@ -80,9 +80,9 @@ def strftime(x: Operand, pattern: str, on_error: str = "raise") -> Expr:
     """Epoch text to date text. Exactly 10 characters are seconds, any other length milliseconds."""
 
     def build(scope: Scope) -> Column:
-        text = scope.text(x, "strftime")
+        text = scope.text(x, "strftime", several_times=True)
         number = F.when(text.rlike(r"\A[+-]?\d+\z"), text.try_cast("bigint"))
-        number = _or_fail(number, text, on_error, "an epoch")
+        number = scope.bound(_or_fail(number, text, on_error, "an epoch"))
         millis = F.when(F.length(text) == 10, number * F.lit(1000)).otherwise(number)
         return _format_millis(scope, millis, pattern)
 
@@ -93,7 +93,7 @@ def strptime(x: Operand, pattern: str, on_error: str = "raise") -> Expr:
     """Date text to epoch milliseconds, as text."""
 
     def build(scope: Scope) -> Column:
-        text = scope.text(x, "strptime")
+        text = scope.text(x, "strptime", several_times=True)
         return _or_fail(_parse_millis(scope, text, pattern), text, on_error, f"a date like {pattern}").cast("string")
 
     return Expr(build)
@@ -103,7 +103,7 @@ def reformat_date(x: Operand, from_pattern: str, to_pattern: str) -> Expr:
     """Date text from one pattern to another; text that does not match gives ``""``."""
 
     def build(scope: Scope) -> Column:
-        text = scope.text(x, "reformat_date")
+        text = scope.text(x, "reformat_date", several_times=True)
         changed = _format_millis(scope, _parse_millis(scope, text, from_pattern), to_pattern)
         return F.when(text.isNotNull(), F.coalesce(changed, F.lit("")))
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabloom.durable import new_folder, removed
 from tabloom.functions.expr import Expr, Operand, Scope
-from tabloom.operators.sizing import Limits, Size, join_lookup, settled
+from tabloom.operators.sizing import Limits, Size, at_once, join_lookup, settled
 from tabloom.schema import quoted
 
 
@@ -42,12 +43,40 @@ class Dimension:
         self.maps = [key_value(m, order_by) for m in maps]
         self.limits = limits
         self._settled: dict[int, tuple[DataFrame, Size]] = {}
+        self._folder = Folder()
 
-    def settled(self, i: int) -> tuple[DataFrame, Size]:
-        """Map ``i`` as a stored table and its size; worked out at its first use."""
-        if i not in self._settled:
-            self._settled[i] = settled(self.maps[i], "k", "dimension")
-        return self._settled[i]
+    def settled(self, n: int) -> list[tuple[DataFrame, Size]]:
+        """The first ``n`` maps as stored tables and their sizes; worked out at their first use."""
+        folder = self._folder.path(self.maps[0].sparkSession)
+
+        def one(i: int) -> tuple[DataFrame, Size]:
+            if i not in self._settled:
+                self._settled[i] = settled(self.maps[i], "k", "dimension", folder)
+            return self._settled[i]
+
+        return at_once(one, n)
+
+    def release(self) -> None:
+        """Delete the stored tables; plans that look up in them can no longer run."""
+        self._settled.clear()
+        self._folder.remove()
+
+
+class Folder:
+    """Where one dimension's tables are stored, made at its first use."""
+
+    def __init__(self):
+        self._made: tuple[SparkSession, str] | None = None
+
+    def path(self, spark: SparkSession) -> str:
+        if self._made is None:
+            self._made = spark, new_folder(spark, "dimension")
+        return self._made[1]
+
+    def remove(self) -> None:
+        if self._made:
+            removed(*self._made)
+            self._made = None
 
 
 def find(scope: Scope, alias: str | Dimension, kind: type, maps_needed: int):
@@ -79,15 +108,14 @@ def dimension(alias: str | Dimension, *keys: Operand) -> Expr:
     def build(scope: Scope) -> Column:
         found = find(scope, alias, Dimension, len(keys))
         values = []
-        for i, key in enumerate(keys):
+        for key, (table, size) in zip(keys, found.settled(len(keys))):
             column, data_type = scope.typed(key)
             k, v = scope.helper(), scope.helper()
-            table, size = found.settled(i)
             side = table.toDF(k, v)
             column = comparable(column, data_type)
             if isinstance(side.schema[k].dataType, T.LongType) != isinstance(data_type, T.IntegralType):
                 side, column = side.withColumn(k, F.col(k).cast("string")), column.cast("string")
-            scope.frame = join_lookup(scope.frame, column, side, size, found.limits)
+            join_lookup(scope, column, side, size, found.limits)
             values.append(F.col(v))
         return first_found(scope, values)
 

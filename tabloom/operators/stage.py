@@ -22,7 +22,7 @@ def stage(
     columns can be swapped. Lookups become left joins below one projection.
     """
     scope = Scope(df, dimensions or {}, missing_as_null)
-    columns = {name: scope.column(operand) for name, operand in outputs.items()}
+    columns = {name: scope.output(operand) for name, operand in outputs.items()}
     return scope.frame.withColumns(columns).drop(*scope.helpers)
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +14,10 @@ from tabloom.functions.expr import Operand
 from tabloom.operators.dimension import Dimension
 from tabloom.operators.projection import project
 from tabloom.operators.ranges import RangeDimension
-from tabloom.operators.sizing import split_hot_keys
 from tabloom.operators.stage import stages
 from tabloom.plans.select import generated_select
 from tabloom.schema import Field, quoted
+from tabloom.session import settings, split_hot_keys
 from tabloom.sources.partitions import empty_table, has_data, read_partition
 
 
@@ -26,23 +27,52 @@ class Flow:
     Tables become temporary views of the session, so later SQL sees them by name. Nothing is
     cached unless asked for with ``persist=True``, which pays off only for a table that
     several results read.
+
+    The session's settings stay as they are. What the flow runs itself (``save``, ``preview``,
+    and the lookups it prepares) runs under its own: hot keys of joins are split, and shuffles have
+    ``shuffle_partitions`` if given. ``with flow.settings():`` does the same for other runs of its tables.
+    ``close``, or a ``with`` block around the flow, releases what it holds: cached tables and stored lookups.
     """
 
     def __init__(self, spark: SparkSession, shuffle_partitions: int | None = None):
         self.spark = spark
         self.dimensions: dict[str, Dimension | RangeDimension] = {}
         self.outputs: list[DataFrame] = []
-        split_hot_keys(spark)
-        if shuffle_partitions is not None:
-            spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        self.shuffle_partitions = shuffle_partitions
+        self._held: list[DataFrame] = []
+        self._lookups: list[Dimension | RangeDimension] = []
+
+    @contextmanager
+    def settings(self) -> Iterator[None]:
+        """The flow's settings, for what runs in the block."""
+        width = {} if self.shuffle_partitions is None else {"spark.sql.shuffle.partitions": str(self.shuffle_partitions)}
+        with split_hot_keys(self.spark), settings(self.spark, width):
+            yield
+
+    def close(self) -> None:
+        """Release cached tables and delete stored lookups; the flow's tables can no longer run."""
+        for df in self._held:
+            df.unpersist()
+        for lookup in self._lookups:
+            lookup.release()
+        self._held, self._lookups = [], []
+
+    def __enter__(self) -> Flow:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
     def dimension(self, alias: str, lookup: Dimension | RangeDimension) -> Flow:
         """Make a lookup known to the stages of later sources; a later one replaces it."""
         self.dimensions[alias] = lookup
+        self._lookups.append(lookup)
         return self
 
     def _register(self, name: str, df: DataFrame, persist: bool) -> None:
-        (df.persist() if persist else df).createOrReplaceTempView(name)
+        if persist:
+            self._held.append(df.persist())
+        df.createOrReplaceTempView(name)
 
     def source(
         self,
@@ -54,7 +84,8 @@ class Flow:
         missing_as_null: bool = False,
     ) -> Flow:
         """Reshape ``df`` by the stages, shape it to the schema and name it."""
-        shaped = stages(df, list(steps), self.dimensions, missing_as_null)
+        with self.settings():
+            shaped = stages(df, list(steps), self.dimensions, missing_as_null)
         self._register(name, shaped if schema is None else project(shaped, schema), persist)
         return self
 
@@ -98,7 +129,8 @@ class Flow:
         """The first rows of a statement; nothing is saved."""
         df = self.spark.sql(statement).limit(rows)
         if show:
-            df.show(rows)
+            with self.settings():
+                df.show(rows)
         return df
 
     def result(self, statement: str) -> Flow:
@@ -123,5 +155,6 @@ class Flow:
         """Write every result, or their union once. Several results need an appending writer."""
         if not self.outputs:
             raise ValueError("the flow has no results")
-        for df in [self.union()] if union else self.outputs:
-            write(df)
+        with self.settings():
+            for df in [self.union()] if union else self.outputs:
+                write(df)

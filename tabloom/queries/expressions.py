@@ -58,6 +58,35 @@ def add_long(spark, sf):
     return _outputs(table(spark, sf, "lineitem"), ["l_orderkey"], outputs)
 
 
+@query(
+    "expr_add_mixed",
+    """select l_orderkey, l_linenumber + l_partkey as int_first, l_partkey + l_linenumber + 2 as long_first
+       from lineitem""",
+)
+def add_mixed(spark, sf):
+    """Whole numbers of different width."""
+    outputs = {
+        "int_first": fn.add("l_linenumber", "l_partkey"),
+        "long_first": fn.add("l_partkey", "l_linenumber", F.lit(2)),
+    }
+    return _outputs(table(spark, sf, "lineitem"), ["l_orderkey"], outputs)
+
+
+@query(
+    "expr_nested",
+    """select l_orderkey, lpad(cast(l_linenumber * 10 as varchar), 5, '0') as padded,
+              strftime(date_trunc('second', l_shipdate), '%d.%m.%Y') as day
+       from lineitem""",
+)
+def nested(spark, sf):
+    """Functions of functions, four deep: each is worked out once."""
+    number = fn.to_int(fn.rjust(fn.to_str(fn.to_int(F.concat(F.col("l_linenumber").cast("string"), F.lit("0")))), 3))
+    text = F.date_format("l_shipdate", "yyyyMMdd HHmmss")
+    millis = fn.strptime(fn.strftime(fn.strptime(text, "yyyyMMdd HHmmss"), "yyyy-MM-dd HH:mm"), "yyyy-MM-dd HH:mm")
+    outputs = {"padded": fn.rjust(number, 5), "day": fn.strftime(millis, "dd.MM.yyyy")}
+    return _outputs(table(spark, sf, "lineitem"), ["l_orderkey"], outputs)
+
+
 @query("expr_add_double", "select l_orderkey, l_extendedprice + l_quantity + l_tax as total from lineitem")
 def add_double(spark, sf):
     outputs = {"total": fn.add("l_extendedprice", "l_quantity", "l_tax")}

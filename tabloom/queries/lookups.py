@@ -187,6 +187,34 @@ def lookup_range_fallback(spark, sf):
     return looked_up.select("c_custkey", "band")
 
 
+_LATEST = """with bands as (select s_nationkey, min(s_acctbal) as lo, max(s_acctbal) as hi from supplier group by s_nationkey)
+       select c_custkey, (select {} from bands where c_acctbal between lo and hi
+                          order by lo desc, hi desc, s_nationkey desc limit 1) as {}
+       from customer"""
+
+
+def _bands(spark, sf, value):
+    bands = table(spark, sf, "supplier").groupBy("s_nationkey").agg(
+        F.min("s_acctbal").alias("lo"), F.max("s_acctbal").alias("hi")
+    )
+    return RangeDimension(bands.select("lo", "hi", value.alias("v")))
+
+
+@query("lookup_range_timestamp", _LATEST.format("epoch_ms(s_nationkey * 3600000)", "since"))
+def lookup_range_timestamp(spark, sf):
+    """Values that are instants."""
+    since = _bands(spark, sf, F.timestamp_millis(F.col("s_nationkey").cast("bigint") * 3_600_000).cast("timestamp_ntz"))
+    return stage(table(spark, sf, "customer"), {"since": in_range(since, "c_acctbal")}).select("c_custkey", "since")
+
+
+@query("lookup_range_struct", _LATEST.format("s_nationkey + 1", "following"))
+def lookup_range_struct(spark, sf):
+    """Values that are records."""
+    records = _bands(spark, sf, F.struct("s_nationkey", (F.col("s_nationkey") + 1).alias("a b")))
+    found = stage(table(spark, sf, "customer"), {"record": in_range(records, "c_acctbal")})
+    return found.select("c_custkey", F.col("record")["a b"].alias("following"))
+
+
 @query(
     "lookup_range_many",
     """select c_custkey, (select max(s_suppkey) from supplier

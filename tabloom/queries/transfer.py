@@ -11,6 +11,7 @@ from tabloom.durable import new_folder
 from tabloom.operators import cells_to_wide, stage, wide_to_cells
 from tabloom.plans import Flow, generated_select
 from tabloom.queries.registry import query, table
+from tabloom.session import settings
 from tabloom.sinks import register_orc_table, write_cells, write_orc
 from tabloom.sources import read_partition
 
@@ -47,6 +48,61 @@ def partition_scan(spark, sf):
     return scan.select("orderkey", "totalprice", F.col("year").cast("bigint"), F.col("month").cast("bigint"))
 
 
+@query(
+    "src_unfinished_partition",
+    """select o_orderkey as orderkey, o_orderpriority as priority from orders where year(o_orderdate) = 1996""",
+)
+def unfinished_partition(spark, sf):
+    """One year is there, of the next one a job has written no more than its working files."""
+    path = _written_orders(spark, sf)
+    under_way = f"{path}/year=2100"
+    _orders_by_month(spark, sf).limit(5).write.orc(f"{under_way}/_temporary/0/_temporary/attempt_0")
+    schema = ["orderkey;long", "priority;string"]
+    flow = (
+        Flow(spark)
+        .partition_source("there", path, f"{path}/year=1996", schema)
+        .partition_source("not_yet", path, under_way, schema)
+        .result("select * from there")
+        .result("select * from not_yet")
+    )
+    return flow.union()
+
+
+@query(
+    "flow_width_and_persist",
+    """select o_custkey as custkey, count(*) as orders, 1 as copy, true as kept, 3 as tasks from orders group by 1
+       union all select o_custkey, count(*), 2, true, 3 from orders group by 1""",
+)
+def flow_width_and_persist(spark, sf):
+    """A table that is cached for two results, under a flow's own shuffle width."""
+    path = new_folder(spark, "counts")
+    with Flow(spark, shuffle_partitions=3) as flow:
+        flow.source("flow_orders", table(spark, sf, "orders").select("o_custkey"))
+        flow.table("flow_counts", "select o_custkey, count(*) as n from flow_orders group by o_custkey", persist=True)
+        kept = str(spark.table("flow_counts").storageLevel.useMemory).lower()
+        for copy in (1, 2):
+            flow.result(f"select o_custkey, n, {copy}, {kept} from flow_counts distribute by o_custkey")
+        schema = ["custkey;long", "orders;long", "copy;int", "kept;boolean"]
+        with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+            flow.save(lambda df: write_orc(df, path, schema, mode="append"))
+            with flow.settings():
+                width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return read_partition(spark, path).withColumn("tasks", F.lit(width))
+
+
+@query(
+    "sink_width_roundtrip",
+    "select s_suppkey as suppkey, s_name as name, true as few_files from supplier",
+)
+def width_roundtrip(spark, sf):
+    """Written by two tasks after a shuffle."""
+    path = new_folder(spark, "suppliers")
+    suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_name")
+    write_orc(suppliers.repartition(8), path, ["suppkey;long", "name;string"], partitions=2, shuffle=True)
+    back = read_partition(spark, path)
+    return back.withColumn("few_files", F.lit(len(back.inputFiles()) <= 2))
+
+
 @query("src_empty_fallback", "select o_custkey as custkey, count(*) as orders from orders group by o_custkey")
 def empty_fallback(spark, sf):
     """A day that was not delivered: its table is empty and the SQL over both still runs."""

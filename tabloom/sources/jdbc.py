@@ -19,22 +19,32 @@ def read_query(spark: SparkSession, url: str, query: str, options: Mapping[str,
     return reader.option("dbtable", f"({query.strip().rstrip(';')}) q").load()
 
 
+#: The text of a query, alone or with options of its own.
+Query = str | tuple[str, Mapping[str, str]]
+
+
 def read_dimensions(
     spark: SparkSession,
     url: str,
-    queries: Mapping[str, str | list[str]],
+    queries: Mapping[str, Query | list[Query]],
     options: Mapping[str, str] | None = None,
     order_by: str | None = None,
 ) -> dict[str, Dimension]:
     """Alias -> dimension, one map per query.
 
     The first column of a query is the key and the second the value; ``order_by`` may name a
-    further one to choose between rows of the same key.
+    further one to choose between rows of the same key. A query may be a pair of its text and
+    options that go before the common ones: ``url`` for another database, or
+    partitionColumn and its kin to read one large map in parallel. Dicts from several calls
+    merge as dicts do, a later alias replacing an earlier one.
     """
-    return {
-        alias: Dimension(
-            *(read_query(spark, url, q, options) for q in ([query] if isinstance(query, str) else query)),
-            order_by=order_by,
-        )
-        for alias, query in queries.items()
-    }
+
+    def read(query: Query) -> DataFrame:
+        text, own = (query, {}) if isinstance(query, str) else query
+        merged = {**(options or {}), **own}
+        return read_query(spark, merged.pop("url", url), text, merged)
+
+    def several(query: Query | list[Query]) -> list[Query]:
+        return query if isinstance(query, list) else [query]
+
+    return {alias: Dimension(*map(read, several(query)), order_by=order_by) for alias, query in queries.items()}

@@ -10,24 +10,36 @@ from pyspark.sql import types as T
 from tabloom.schema import Field, struct
 
 
-def _is_data(name: str) -> bool:
-    return not (name.startswith(".") or name.endswith(".tmp") or name.lower() in ("_success", "_fail"))
+# The markers of a job's end, and how names of what is not yet or never data begin and end.
+_MARKERS = ("_success", "_fail")
+_HIDDEN = ("_", ".")
+_UNFINISHED = ".tmp"
+
+
+def _is_data(path: str) -> bool:
+    """Whether a file counts, by its path below the table: what Spark's readers skip does not."""
+    *folders, name = path.split("/")
+    if name.startswith(".") or name.endswith(_UNFINISHED) or name.lower() in _MARKERS:
+        return False
+    return not any(part.startswith(_HIDDEN) and "=" not in part for part in [*folders, name])
 
 
 def has_data(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` holds a data file at any depth.
 
-    Hidden files, ``.tmp`` files and the ``_success``/``_fail`` markers do not count. The
-    listing is lazy and stops at the first data file.
+    Hidden files, ``.tmp`` files, the ``_success``/``_fail`` markers and whatever lies in a folder
+    that Spark skips, as ``_temporary`` of a job under way, do not count. The listing is lazy and
+    stops at the first data file.
     """
     jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(jsc.hadoopConfiguration())
     if not fs.exists(root):
         return False
+    base = fs.getFileStatus(root).getPath().toUri().getPath().rstrip("/")
     files = fs.listFiles(root, True)
     while files.hasNext():
-        if _is_data(files.next().getPath().getName()):
+        if _is_data(files.next().getPath().toUri().getPath()[len(base) :].lstrip("/")):
             return True
     return False
 

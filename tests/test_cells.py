@@ -40,11 +40,15 @@ def test_declared_cells_only(cells):
     assert values(out) == [("r1", "2", None), ("r2", None, "colon")]
 
 
-def test_one_shuffle_after_a_map_side_reduction(cells):
+def test_what_is_sorted_holds_no_undeclared_value(cells):
+    """Below the sorting aggregate: the declared cells alone, and keys that a hash aggregate found."""
     plan = cells_to_wide(cells, ["d:a", "d:b"], version="ts")._jdf.queryExecution().sparkPlan().toString()
-    assert plan.count("Aggregate") == 2  # partial and final
-    physical = plan_of(cells_to_wide(cells, ["d:a", "d:b"], version="ts")).split("== Physical Plan ==")[1]
-    assert physical.count("Exchange") == 1 and "partial_max" in physical
+    assert plan.count("SortAggregate") == 2 and plan.count("HashAggregate") == 2  # partial and final
+    declared, keys = plan.split("Union")[1].split("HashAggregate", 1)
+    assert "Filter" in declared and "IN (a,b)" in declared
+    assert "value" not in keys.split("Scan")[0].replace("Project [rowkey", "")
+    only = cells_to_wide(cells, ["d:a", "d:b"], version="ts", keep_empty=False)._jdf.queryExecution().sparkPlan()
+    assert only.toString().count("Aggregate") == 2
 
 
 def encoded(df, schema, row):
@@ -99,14 +103,14 @@ def test_every_double_keeps_its_bits(spark):
 
 
 def test_known_bytes(spark):
-    df = spark.sql("select 258 as a, -2 as b, 1.5D as c, 1.5F as d, '沈阳' as e")
+    df = spark.sql("select 258 as a, -2 as b, 1.5D as c, 1.5F as d, 'Größe ≥ 3' as e")
     out = encoded(df, ["a;int", "b;int", "c;double", "d;float", "e;string"], "a")[bytes.fromhex("00000102")]
     assert {n: v.hex().upper() for n, v in out.items()} == {
         "a": "00000102",
         "b": "FFFFFFFE",
         "c": "3FF8000000000000",
         "d": "3FC00000",
-        "e": "沈阳".encode().hex().upper(),
+        "e": "Größe ≥ 3".encode().hex().upper(),
     }
 
 

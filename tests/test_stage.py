@@ -37,17 +37,13 @@ def test_names_with_family_and_dots(spark):
     assert values(stage(wide, {"a": "d:k", "b": fn.add("p.q", "d:k")}), "a", "b") == [("x", "yx")]
 
 
-def test_example_job(spark):
+def test_whole_job(spark):
     """Wide text columns, a dimension, and a schema in another order."""
-    source = spark.createDataFrame(
-        [("short_name", "domain", "location", "city_1")],
-        "`d:short_name` string, `d:domain` string, `d:location` string, `d:pinyin` string",
-    )
-    city = Dimension(spark.createDataFrame([("city_1", "1"), ("city_2", "2")], "pinyin string, id string"))
-    names = ["short_name", "domain", "location", "pinyin"]
-    out = stage(source, {**{n: f"d:{n}" for n in names}, "city_id": dimension(city, "d:pinyin")})
-    shaped = project(out, [f"{n};string" for n in ["short_name", "pinyin", "domain", "location", "city_id"]])
-    assert values(shaped) == [("short_name", "city_1", "domain", "location", "1")]
+    source = spark.createDataFrame([("Oak", "12", "m3")], "`w:wood` string, `w:volume` string, `w:unit` string")
+    factors = Dimension(spark.createDataFrame([("l", "0.001"), ("m3", "1")], "unit string, factor string"))
+    out = stage(source, {"wood": "w:wood", "volume": "w:volume", "factor": dimension(factors, "w:unit")})
+    shaped = project(out, ["factor;double", "wood;string", "volume;int"])
+    assert values(shaped) == [(1.0, "Oak", 12)]
 
 
 def test_filter_and_pruning_pass_through_a_stage(spark):
@@ -89,23 +85,13 @@ def test_rename_by_position_swaps(df):
 
 
 def test_strip_prefix(spark):
-    fields = {
-        "rowkey": "141414",
-        "d:area_name": "东北",
-        "d:fixed_city_id": "1341",
-        "d:py": "sy",
-        "d:city_level": "A",
-        "d:pinyin": "shenyang",
-        "d:parent_id": "0",
-        "d:city_name": "沈阳",
-    }
+    fields = {"key": "k-9", "w:wood": "Öl-Eiche", "w:volume": "12", "w:unit": "m3"}
     wide = spark.createDataFrame([tuple(fields.values())], ", ".join(f"`{n}` string" for n in fields))
-    names = ["d:parent_id", "d:city_name", "d:area_name", "d:fixed_city_id", "d:py", "d:city_level", "d:pinyin"]
-    out = strip_prefix(wide, names)
-    assert out.columns == [n[2:] for n in names]
-    assert values(out) == [("0", "沈阳", "东北", "1341", "sy", "A", "shenyang")]
-    assert values(strip_prefix(wide, ["d:py", "d:none"])) == [("sy", None)]
-    for bad in (["a:b:c"], ["d:py", "e:py"]):
+    out = strip_prefix(wide, ["w:unit", "w:wood", "w:volume"])
+    assert out.columns == ["unit", "wood", "volume"]
+    assert values(out) == [("m3", "Öl-Eiche", "12")]
+    assert values(strip_prefix(wide, ["w:unit", "w:none"])) == [("m3", None)]
+    for bad in (["a:b:c"], ["w:unit", "v:unit"]):
         with pytest.raises(ValueError):
             strip_prefix(wide, bad)
 

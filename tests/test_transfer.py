@@ -1,5 +1,7 @@
 import uuid
+from pathlib import Path
 from types import SimpleNamespace
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import plan_of, values
 from tabloom import functions as fn
 from tabloom.durable import new_folder, shared_folder
-from tabloom.operators import Dimension, dimension
+from tabloom.operators import Dimension, RangeDimension, dimension, in_range
 from tabloom.plans import Flow, generated_select
 from tabloom.sinks import output_width, register_orc_table, write_jdbc, write_orc
 from tabloom.sources import empty_table, has_data, read_dimensions, read_partition, read_query
@@ -40,8 +42,14 @@ def test_has_data(spark, tmp_path):
     for name in (".hidden", "part.tmp", "_SUCCESS", "_success", "_Fail"):
         (root / "deep" / name).write_text("x")
         assert not has_data(spark, str(root)), name
-    (root / "deep" / "er" / "part-0").write_text("x")
+    for folder in ("_temporary/0", ".staging", "deep/_tmp/k=1"):
+        (root / folder).mkdir(parents=True)
+        (root / folder / "part-0.orc").write_text("x")
+        assert not has_data(spark, str(root)), folder
+    (root / "deep" / "_k=1").mkdir()
+    (root / "deep" / "_k=1" / "part-0").write_text("x")
     assert has_data(spark, str(root))
+    assert has_data(spark, str(root / "deep/_tmp"))
 
 
 def test_partition_scan(spark, dataset):
@@ -158,6 +166,18 @@ def test_jdbc_dimensions(spark):
     assert values(spark.table("facts"), "v") == ["a"]
 
 
+def test_jdbc_queries_with_options_of_their_own(spark):
+    session = FakeSession(spark.createDataFrame([("1", "a")], "k string, v string"))
+    parallel = {"partitionColumn": "k", "numPartitions": "8", "lowerBound": "0", "upperBound": "9"}
+    queries = {"small": "select 1", "large": ("select 2", parallel), "both": [("select 3", {"url": "jdbc:p:q"}), "select 4"]}
+    read_dimensions(session, "jdbc:x:y", queries, {"user": "u", "numPartitions": "1"})
+    urls = [a[1] for n, a, _ in session.read.calls if n == "option" and a[0] == "url"]
+    options = [kw for n, _, kw in session.read.calls if n == "options"]
+    assert urls == ["jdbc:x:y", "jdbc:x:y", "jdbc:p:q", "jdbc:x:y"]
+    common = {"user": "u", "numPartitions": "1"}
+    assert options == [common, {**common, **parallel}, common, common]
+
+
 def test_jdbc_write(monkeypatch, spark):
     written = []
     from pyspark.sql import DataFrameWriter
@@ -171,24 +191,20 @@ def test_jdbc_write(monkeypatch, spark):
     assert written == [("jdbc:x:y", "t", {"user": "u", "batchsize": "5000"}, ["key"], 2)]
 
 
-SELECT_SCHEMA = ["f0;string;0", "f1;string;1", "f2;string", "f3;string;'3'", "f4;string"]
+SELECT_SCHEMA = ["run;string;7", "status;string;'new'", "invoice;string", "amount;double;price * pieces", "buyer;string"]
 
 
 def test_generated_select(spark):
-    spark.sql("select 'two' f2, 'four' f4, 1 a, 1 b").createOrReplaceTempView("tbl3")
-    out = generated_select(spark, SELECT_SCHEMA, {"f1": "10", "f2": "20", "other": "x"}, "tbl3", "a = b")
-    assert out.columns == ["f0", "f1", "f2", "f3", "f4"]
-    assert values(out) == [(0, 10, 20, "3", "four")]
-    spark.sql("select 1 a1, 2 a2, 'two' f2").createOrReplaceTempView("tbl4")
-    spark.sql("select 1 d1, 'x' b1, 2 b2, '2' c1, 'four' f4").createOrReplaceTempView("tbl5")
+    """Defaults of the schema, overrides, a name the schema lacks, and a join with a condition."""
+    spark.sql("select 'R-1' invoice, 'Ann' buyer, 2.5D price, 4 pieces").createOrReplaceTempView("bills")
+    out = generated_select(spark, SELECT_SCHEMA, {"run": "8", "buyer": "upper(buyer)", "nobody": "1"}, "bills", "pieces > 3")
+    assert out.columns == ["run", "status", "invoice", "amount", "buyer"]
+    assert values(out) == [(8, "new", "R-1", 10.0, "ANN")]
+    spark.sql("select 'R-1' bill, 'paid' note union all select 'R-2', 'open'").createOrReplaceTempView("notes")
     out = generated_select(
-        spark,
-        SELECT_SCHEMA,
-        {"f1": "'21'"},
-        "tbl4 inner join tbl5 on tbl4.a1 = tbl5.d1",
-        "(a1 = b2) and (a2 = b2) or c1 <> '1'",
+        spark, SELECT_SCHEMA, {"status": "note"}, "bills left join notes on bills.invoice = notes.bill", "note = 'paid' or price < 1"
     )
-    assert values(out) == [(0, "21", "two", "3", "four")]
+    assert values(out) == [(7, "paid", "R-1", 10.0, "Ann")]
 
 
 def test_generated_select_sees_only_the_source(spark):
@@ -233,10 +249,31 @@ def test_flow_without_results(spark):
         Flow(spark).save(print)
 
 
-def test_shuffle_width(spark, settings):
-    with settings(spark__sql__shuffle__partitions="8"):
-        Flow(spark, shuffle_partitions=20)
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "20"
+def test_a_flow_leaves_the_session_alone(spark):
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.forceOptimizeSkewedJoin"]
+    before = [spark.conf.get(n, None) for n in names]
+    seen = []
+    first = Flow(spark, shuffle_partitions=3).source("a_few", spark.range(9)).result("select id from a_few")
+    second = Flow(spark, shuffle_partitions=20).source("a_few_more", spark.range(9)).result("select id from a_few_more")
+    for flow in (first, second, first):
+        flow.save(lambda df: seen.append([spark.conf.get(n) for n in names]))
+    assert seen == [["3", "true"], ["20", "true"], ["3", "true"]]
+    with pytest.raises(ZeroDivisionError):
+        first.save(lambda df: 1 / 0)
+    assert [spark.conf.get(n, None) for n in names] == before
+
+
+def test_closing_a_flow_releases_what_it_holds(spark):
+    lookup = Dimension(spark.createDataFrame([("k", "v")], "k string, v string"))
+    bands = RangeDimension(spark.createDataFrame([("1_2", "x")], "k string, v string"))
+    with Flow(spark).dimension("d", lookup).dimension("r", bands) as flow:
+        facts = spark.createDataFrame([("k", 1)], "k string, n int")
+        flow.source("held", facts, [{"v": dimension("d", "k"), "b": in_range("r", "n")}], persist=True)
+        assert values(spark.table("held"), "v", "b") == [("v", "x")]
+        folders = [Path(urlparse(x).path) for x in (lookup._folder.path(spark), bands.folder.path(spark))]
+        assert all(any(f.iterdir()) for f in folders) and spark.table("held").storageLevel.useMemory
+    assert not any(f.exists() for f in folders)
+    assert not spark.table("held").storageLevel.useMemory
 
 
 def test_later_dimension_replaces(spark):
