@@ -24,17 +24,18 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for intermediate data.
 
     Where it names none this is a folder of the default file system, if executors share that,
-    or in local mode a temporary one.
+    or in local mode a temporary one. The setting is taken at its word, ``file:`` paths
+    included: only the cluster's owner knows which folders are mounted everywhere.
     """
     context = spark.sparkContext
     folder = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING)
     if folder:
         return folder.rstrip("/")
-    if context.master.startswith("local"):
+    if context.master.startswith("local"):  # one machine
         return _local_folder()
     if context._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").startswith("file:"):
         raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-    return "/tmp/tabloom"
+    return f"/tmp/tabloom-{context.sparkUser()}"
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

@@ -34,13 +34,12 @@ def cells_to_wide(
     """One row per ``rowkey``, as text, with a text column for each declared ``family:qualifier``.
 
     Of several versions of a cell the highest ``version`` is kept. The columns are conditional
-    maxima of a single grouping: since each map task first reduces a key to one row, a key
-    holding much of the table does not gather anywhere. That reduction sorts, as text does not fit
-    a hash aggregate, but it sees the declared cells alone.
+    maxima of a single grouping: one shuffle, and since each map task first reduces a key to
+    one row, a key holding much of the table does not gather anywhere. That reduction sorts, as
+    text does not fit a hash aggregate, but an undeclared cell brings it no more than its row key.
 
-    Every row key of the table appears, also one that has none of the declared cells: the keys
-    come from a grouping of their own that reads no values. Where such rows are not wanted,
-    ``keep_empty=False`` spares it.
+    Every row key of the table appears, also one that has none of the declared cells. Where
+    such rows are not wanted, ``keep_empty=False`` reads the declared cells only.
     """
     names = list(names)
     rank = F.col(quoted(version)) if version else F.lit(0)
@@ -53,15 +52,14 @@ def cells_to_wide(
     place = F.lit(None).cast("int")
     for family, of_qualifier in by_family.items():
         place = F.when(F.col("family") == family, of_qualifier).otherwise(place)
-    declared = cells.where(_declared(names)).select("rowkey", place.alias("place"), cell.alias("cell"))
-    if keep_empty:
-        # the keys of all cells: found by a hash aggregate, which carries and sorts no value
-        keys = cells.select("rowkey").distinct()
-        none = F.lit(None).cast(declared.schema["cell"].dataType)
-        declared = declared.unionByName(keys.select("rowkey", F.lit(None).cast("int").alias("place"), none.alias("cell")))
+    if not keep_empty:
+        cells = cells.where(_declared(names))
+    placed = cells.withColumn("place", place)
+    # of an undeclared cell nothing but its row key goes on
+    kept = placed.select("rowkey", "place", F.when(F.col("place").isNotNull(), cell).alias("cell"))
     picked = [F.max(F.when(F.col("place") == i, F.col("cell"))).alias(n) for i, n in enumerate(names)]
     return (
-        declared.groupBy("rowkey")
+        kept.groupBy("rowkey")
         .agg(*picked)
         .select(F.col("rowkey").cast("string"), *(F.col(quoted(n)).getField("value").alias(n) for n in names))
     )

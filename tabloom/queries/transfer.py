@@ -3,8 +3,6 @@
 Round trips write below the session's shared folder, each run to a path of its own.
 """
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from tabloom.durable import new_folder
@@ -353,7 +351,9 @@ def cells_roundtrip(spark, sf):
               sum(cast(round(o_totalprice * 100) as bigint)) / 100.0 as total from orders group by 1""",
 )
 def register_table(spark, sf):
+    """The table is entered anew at every run, under one name."""
     path = _written_orders(spark, sf)
-    orders = register_orc_table(spark, f"orders_{uuid.uuid4().hex}", path, _ORDER_SCHEMA, ["year", "month"])
+    spark.sql("drop table if exists tabloom_orders_by_month")
+    orders = register_orc_table(spark, "tabloom_orders_by_month", path, _ORDER_SCHEMA, ["year", "month"])
     cents = F.sum(F.round(F.col("totalprice") * 100).cast("bigint"))
     return orders.groupBy("year").agg(F.count(F.lit(1)).alias("orders"), (cents / F.lit(100.0)).alias("total"))

@@ -41,14 +41,14 @@ def test_declared_cells_only(cells):
 
 
 def test_what_is_sorted_holds_no_undeclared_value(cells):
-    """Below the sorting aggregate: the declared cells alone, and keys that a hash aggregate found."""
-    plan = cells_to_wide(cells, ["d:a", "d:b"], version="ts")._jdf.queryExecution().sparkPlan().toString()
-    assert plan.count("SortAggregate") == 2 and plan.count("HashAggregate") == 2  # partial and final
-    declared, keys = plan.split("Union")[1].split("HashAggregate", 1)
-    assert "Filter" in declared and "IN (a,b)" in declared
-    assert "value" not in keys.split("Scan")[0].replace("Project [rowkey", "")
-    only = cells_to_wide(cells, ["d:a", "d:b"], version="ts", keep_empty=False)._jdf.queryExecution().sparkPlan()
-    assert only.toString().count("Aggregate") == 2
+    """Below the aggregate that sorts: row key, the column's number, and a cell only where there is one."""
+    wide = cells_to_wide(cells, ["d:a", "d:b"], version="ts")
+    plan = wide._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Aggregate") == 2  # partial and final
+    below = plan.split("SortAggregate")[2].split("Project [")[1]
+    assert "CASE WHEN isnotnull(place" in below and "concat_ws" not in plan
+    physical = plan_of(wide).split("== Physical Plan ==")[1]
+    assert physical.count("Exchange") == 1 and "partial_max" in physical
 
 
 def encoded(df, schema, row):

@@ -287,8 +287,11 @@ def test_later_dimension_replaces(spark):
     "master, setting, file_system, folder",
     [
         ("spark://host:7077", "s3a://bucket/tmp/", "file:///", "s3a://bucket/tmp"),
-        ("yarn", None, "hdfs://nn:8020", "/tmp/tabloom"),
+        ("spark://host:7077", "file:///mnt/shared", "file:///", "file:///mnt/shared"),
+        ("yarn", "/jobs/tmp", "hdfs://nn:8020", "/jobs/tmp"),
+        ("yarn", None, "hdfs://nn:8020", "/tmp/tabloom-ann"),
         ("yarn", None, "file:///", None),
+        ("local[4]", "/scratch", "file:///", "/scratch"),
     ],
 )
 def test_shared_folder_of_a_cluster(master, setting, file_system, folder):
@@ -298,7 +301,9 @@ def test_shared_folder_of_a_cluster(master, setting, file_system, folder):
         return SimpleNamespace(get=lambda key, default=None: value)
 
     java_context = SimpleNamespace(hadoopConfiguration=lambda: get(file_system))
-    context = SimpleNamespace(master=master, getConf=lambda: get(setting), _jsc=java_context)
+    context = SimpleNamespace(
+        master=master, getConf=lambda: get(setting), _jsc=java_context, sparkUser=lambda: "ann"
+    )
     session = SimpleNamespace(conf=get(None), sparkContext=context)
     if folder is None:
         with pytest.raises(RuntimeError):
