@@ -25,8 +25,9 @@ def add(first: Operand, *rest: Operand) -> Expr:
     """Fold operands by the type of the first.
 
     Strings are joined (a later null appends the text ``null``), integers add with 32-bit
-    wrap-around, long, float and double add as such. Whole numbers of different width add as long. A null first operand gives null, and so
-    does one of any other type. One operand alone is passed through with its type.
+    wrap-around, long, float and double add as such. Whole numbers of different width add as
+    long. A null first operand gives null, and so does one of any other type. One operand alone
+    is passed through with its type.
     """
 
     def build(scope: Scope) -> Column:

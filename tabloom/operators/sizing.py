@@ -60,12 +60,12 @@ def settled(df: DataFrame, key: str, purpose: str, under: str | None = None) ->
 def join_lookup(scope: Scope, key: Column, side: DataFrame, size: Size, limits: Limits) -> None:
     """Left join a lookup (one row per value of its first column) to the scope's frame on ``key``.
 
-    A side measured within the limits is broadcast, while all those of the stage together are. A larger one is shuffled, and hashed in each
-    partition while its share there stays within them, which spares sorting the table; beyond
-    that the two are merged. Adaptive execution splits the partition of a hot key in
-    either case, that of the rows without a key included: the side is read from storage, so
-    both inputs of the join are plain shuffles, as this requires. For two lookups by one column
-    that takes ``split_hot_keys`` around the run.
+    A side measured within the limits is broadcast, while all those of the stage together are. A
+    larger one is shuffled, and hashed in each partition while its share there stays within them,
+    which spares sorting the table; beyond that the two are merged. Adaptive execution splits the
+    partition of a hot key in either case, that of the rows without a key included: the side is
+    read from storage, so both inputs of the join are plain shuffles, as this requires. For two
+    lookups by one column that takes ``split_hot_keys`` around the run.
     """
     other = F.col(side.columns[0])
     # Without a null key to find, plain equality does: one column to shuffle by, a cheaper hash table.

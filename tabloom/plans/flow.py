@@ -45,7 +45,9 @@ class Flow:
     @contextmanager
     def settings(self) -> Iterator[None]:
         """The flow's settings, for what runs in the block."""
-        width = {} if self.shuffle_partitions is None else {"spark.sql.shuffle.partitions": str(self.shuffle_partitions)}
+        width = {}
+        if self.shuffle_partitions is not None:
+            width["spark.sql.shuffle.partitions"] = str(self.shuffle_partitions)
         with split_hot_keys(self.spark), settings(self.spark, width):
             yield
 

@@ -187,7 +187,8 @@ def lookup_range_fallback(spark, sf):
     return looked_up.select("c_custkey", "band")
 
 
-_LATEST = """with bands as (select s_nationkey, min(s_acctbal) as lo, max(s_acctbal) as hi from supplier group by s_nationkey)
+_LATEST = """with bands as (select s_nationkey, min(s_acctbal) as lo, max(s_acctbal) as hi
+                      from supplier group by s_nationkey)
        select c_custkey, (select {} from bands where c_acctbal between lo and hi
                           order by lo desc, hi desc, s_nationkey desc limit 1) as {}
        from customer"""
