@@ -66,7 +66,8 @@ def deduplicate(documents: DataFrame, index: DigestIndex, text: str = "text", ke
     """One row per document: ``key``, keep_id, group_size, kept, digest. Adds new texts to ``index``.
 
     keep_id is the document that stays for this text: the one the index had, or else the largest
-    ``key`` among the new ones. group_size counts the equal texts of ``documents``.
+    ``key`` among the new ones. group_size counts the equal texts of ``documents``. A document the
+    index has under the same ``key`` and text is that document and stays: a batch may be run again.
     """
     batch = uuid.uuid4().hex
     digests = written(
@@ -94,7 +95,7 @@ def deduplicate(documents: DataFrame, index: DigestIndex, text: str = "text", ke
             "digest",
             "keep_id",
             "group_size",
-            F.when(F.col("batch") == batch, F.col("top_row")).alias("kept_row"),
+            F.when((F.col("batch") == batch) | (F.col("keep_id") == F.col("top_id")), F.col("top_row")).alias("kept_row"),
         ),
         "digest-verdicts",
     )

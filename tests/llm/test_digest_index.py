@@ -52,6 +52,8 @@ def test_a_second_batch_meets_the_first(spark):
     got = {r.doc_id: (r.keep_id, r.kept, r.group_size) for r in d.deduplicate(second, own).collect()}
     assert got == {9: (1, False, 1), 8: (8, True, 2), 7: (8, False, 2)}
     assert own.table().count() == 3
+    again = {r.doc_id: (r.keep_id, r.kept, r.group_size) for r in d.deduplicate(second, own).collect()}
+    assert again == got and own.table().count() == 3
     own.forget()
 
 
