@@ -3,11 +3,11 @@ import re
 import pytest
 
 import corpus_pipeline as pipeline
-from test_digest_index import digest
-from test_divergence_rules import base
-from test_packing import PATH, library, pieces_of  # noqa: F401
-from test_personal_data import of_base
-from test_simhash import brute
+from llm.test_digest_index import digest
+from llm.test_divergence_rules import base
+from llm.test_packing import PATH, library, pieces_of  # noqa: F401
+from llm.test_personal_data import of_base
+from llm.test_simhash import brute
 
 SF_DIR = "/root/testdata/sf0.01"
 
