@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import re
+from collections.abc import Iterator
 
 import numpy as np
 import tiktoken
@@ -12,6 +14,11 @@ _LOADED: dict[str, ByteBpe] = {}
 #: How the byte-level pre-tokenizer cuts a text; a fixed value of the file format.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# The pattern's engine keeps a state for each character of a run of white space and gives up at 1,000,000 of them.
+# Longer runs than this are cut out before. The characters are the pattern's white space, which is not Python's.
+_LONG = 100_000
+_RUN = re.compile(rf"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{{{_LONG},}}")
+
 
 def _byte_of() -> dict[str, int]:
     """The byte each character of a byte-level vocabulary stands for.
@@ -39,9 +46,26 @@ class ByteBpe:
             if token not in special
         }
         self.core = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        self.special = re.compile(f"({'|'.join(map(re.escape, special))})" if special else "(?!)")
 
     def encode(self, text: str) -> np.ndarray:
-        return self.core.encode_to_numpy(text, allowed_special="all")
+        if len(text) < _LONG or not _RUN.search(text):
+            return self.core.encode_to_numpy(text, allowed_special="all")
+        return np.concatenate([ids for part in self.special.split(text) for ids in self._around_runs(part)])
+
+    def _around_runs(self, text: str) -> Iterator[np.ndarray]:
+        """The ids of a special token or of text without one.
+
+        The pattern cuts before a run of white space, and before its last character if text follows. What
+        lies between is one piece, whatever its length.
+        """
+        at = 0
+        for run in _RUN.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            yield self.core.encode_to_numpy(text[at : run.start()], allowed_special="all")
+            yield np.array(self.core._encode_single_piece(text[run.start() : end]), np.uint32)
+            at = end
+        yield self.core.encode_to_numpy(text[at:], allowed_special="all")
 
     def decode(self, ids: np.ndarray) -> str:
         return self.core.decode_bytes(ids.tolist()).decode("utf-8", errors="replace")

@@ -45,6 +45,13 @@ def test_shared_passages_at_every_kind_of_join(spark, library):
     assert sorted(map(tuple, c.encode_documents(df, PATH, c.DIGESTS).collect()), key=str) == wanted(library, rows)
 
 
+def test_long_runs_of_white_space(spark, library):
+    runs = [" " * 2_000_000, "\n" * 2_000_000, " " * 1_200_000]
+    rows = [(k, f"Some text {k}.{run}And more.") for k, run in enumerate(runs)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    assert sorted(map(tuple, c.encode_documents(df, PATH, c.DIGESTS).collect()), key=str) == wanted(library, rows)
+
+
 def test_any_bitmap_gives_the_same(spark, library):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")

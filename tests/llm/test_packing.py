@@ -1,4 +1,5 @@
 import random
+import re
 import struct
 import zlib
 from itertools import combinations
@@ -7,6 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from tabloom.llm import bpe
 from tabloom.llm import packing as p
 from tabloom.llm.bpe import load
 
@@ -151,3 +153,29 @@ def test_ids_of_every_kind_of_character(library):
         ids = library.encode(text, add_special_tokens=False).ids
         assert bpe.encode(text).tolist() == ids
         assert bpe.decode(bpe.encode(text)) == library.decode(ids, skip_special_tokens=False)
+
+
+LONG_RUNS = [" " * 2_000_000, "\n" * 2_000_000, "a" + " \u3000" * 600_000 + "b  c", "\t" * 1_200_000 + "<|endoftext|>" + "\r\n" * 600_000 + "é"]
+
+
+@pytest.mark.parametrize("text", LONG_RUNS, ids=["blanks", "newlines", "inside", "special"])
+def test_long_runs_of_white_space(library, text):
+    assert load(PATH).encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+WHITE = [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, 0x180E, 0x200A, 0x200B, 0x2028, 0x202F, 0x205F, 0x3000]
+
+
+@pytest.mark.parametrize("blank", [chr(c) for c in WHITE])
+def test_runs_of_every_white_space(library, monkeypatch, blank):
+    monkeypatch.setattr(bpe, "_LONG", 2)
+    monkeypatch.setattr(bpe, "_RUN", re.compile(bpe._RUN.pattern.replace("{100000,}", "{2,}")))
+    for text in (blank * 5, f"a{blank * 5}b", f"{blank * 3}'s {blank}1", f"x{blank * 2}<|endoftext|>{blank * 2} é"):
+        assert load(PATH).encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_document_of_white_space_is_packed(spark, library):
+    rows = [(k, f"Some text {k}.{run}And more.") for k, run in enumerate([" " * 2_000_000, "\n" * 2_000_000])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [(r.doc_id, r.piece, r.start, r.length, zlib.crc32(r.ids)) for r in p.pack(p.token_pieces(df, PATH)).collect()]
+    assert sorted(got) == sorted(x for key, text in rows for x in pieces_of(library, key, text))
