@@ -5,8 +5,9 @@ groups. In a group every page's tree is aligned with that of the first by simple
 nodes match if their tags and classes do, and of their children as many as can in order,
 counted by the nodes matched below them. Neighbouring blocks alike that hold nothing but text
 (paragraphs, list items) are one slot, whatever their number. A slot that the group's pages fill
-with the same text, or from a small stock of texts, is template; the rest is content. Pages that are
-copies of one another are one witness, and a group of few witnesses induces nothing.
+with the same text, or from a small stock of texts, is template on the pages that have such a text; the rest is
+content, and so is the longest slot of an article. Pages that share their longest text and h1 are
+copies and one witness, and a group of few witnesses induces nothing.
 
 Elements that are boilerplate by their name or class (menus, forms, adverts, comments and so on)
 go in any case, and where a page has an article or a main element the content is there.
@@ -20,7 +21,7 @@ than key, url and html play no part.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -158,31 +159,56 @@ def _leaves(slot: Slot) -> Iterator[Slot]:
         yield from _leaves(kid)
 
 
+def _shown(slot: Slot, in_main: bool = False) -> Iterator[Slot]:
+    """The leaves that are not boilerplate by name."""
+    if not _boilerplate(*slot.key, in_main):
+        if not slot.kids:
+            yield slot
+        for kid in slot.kids:
+            yield from _shown(kid, in_main)
+
+
+def _parts(page: Slot) -> tuple[list[Slot], bool]:
+    """Where the content is, and whether that is an article or a main element."""
+    mains = [m for tag in _MAIN for m in _mains(page, tag)]
+    articles = [m for m in mains if m.key[0] == "article"] or mains
+    return articles or [page], bool(articles)
+
+
+def _witness(page: Slot) -> tuple[str, ...]:
+    """What copies of a page share when their menus or adverts differ: the longest text and the h1."""
+    parts, in_main = _parts(page)
+    leaves = [(leaf.key[0], leaf.text()) for part in parts for leaf in _shown(part, in_main)]
+    return (max((text for _, text in leaves), key=len, default=""), *(text for tag, text in leaves if tag == "h1"))
+
+
 def template_slots(pages: list[Slot], how: Induction = Induction()) -> list[set[int]]:
-    """For each page of a group the ids of its slots that are template."""
-    texts = [slot.text() for slot in pages]
+    """For each page of a group the ids of its slots that are template: those it fills with a text of the template."""
+    witness = [_witness(page) for page in pages]
     first = pages[0]
-    aligned = []
-    filled: dict[int, dict[str, str]] = defaultdict(dict)  # slot of the first page: page's text to slot's text
-    for page, whole in zip(pages, texts, strict=True):
+    matched: list[list[tuple[Slot, Slot]]] = []  # for each page its leaves and those of the first page
+    filled: dict[int, dict[tuple[str, ...], str]] = defaultdict(dict)  # slot of the first page: one text of a witness
+    shared: dict[int, dict[str, set[tuple[str, ...]]]] = defaultdict(lambda: defaultdict(set))  # and who has a text
+    for page, who in zip(pages, witness, strict=True):
         pairs: dict[int, Slot] = {}
         if page is first:
             pairs = {id(s): s for s in _all(first)}
         elif page.key == first.key:
             align(page, first, {}, pairs)
-        aligned.append(pairs)
-        for slot in _leaves(page):
-            if (home := pairs.get(id(slot))) is not None and not home.kids:
-                filled[id(home)][whole] = slot.text()
-    fixed = set()
+        found = [(leaf, home) for leaf in _leaves(page) if (home := pairs.get(id(leaf))) is not None and not home.kids]
+        matched.append(found)
+        for leaf, home in found:
+            text = leaf.text()
+            filled[id(home)].setdefault(who, text)
+            shared[id(home)][text].add(who)
+    fixed: dict[int, set[str]] = {}
     for leaf in _leaves(first):
-        found = Counter(filled[id(leaf)].values())
-        n = sum(found.values())
+        n, texts = len(filled[id(leaf)]), shared[id(leaf)]
         if n >= how.witnesses:
-            stock = leaf.key[0] not in _PROSE and len(found) <= how.stock * n
-            if stock or max(found.values()) >= how.same * n:
-                fixed.add(id(leaf))
-    return [{slot for slot, home in pairs.items() if id(home) in fixed} for pairs in aligned]
+            stock = leaf.key[0] not in _PROSE and len(set(filled[id(leaf)].values())) <= how.stock * n
+            least = 2 if stock else how.same * n
+            fixed[id(leaf)] = {text for text, who in texts.items() if len(who) >= least}
+    return [{id(leaf) for leaf, home in found if leaf.text() in fixed.get(id(home), ())} for found in matched]
 
 
 def _all(slot: Slot) -> Iterator[Slot]:
@@ -224,10 +250,10 @@ def _runs(block: Block, in_main: bool) -> Iterator[Block]:
 
 
 def main_text(page: Slot, template: set[int]) -> str:
-    mains = [m for tag in _MAIN for m in _mains(page, tag)]
-    articles = [m for m in mains if m.key[0] == "article"] or mains
-    parts = articles or [page]
-    return " ".join(t for part in parts for t in _content(part, template, bool(articles)))
+    parts, in_main = _parts(page)
+    if in_main:  # the main block of an article is content whatever other pages hold
+        template = template - {id(max((s for p in parts for s in _shown(p, True)), key=lambda s: len(s.text()), default=page))}
+    return " ".join(t for part in parts for t in _content(part, template, in_main))
 
 
 def _extract(pages: list[str], how: Induction) -> list[str]:

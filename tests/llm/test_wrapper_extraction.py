@@ -32,6 +32,25 @@ def test_copies_are_one_witness():
     assert w._extract([page(1)] * 20, w.Induction()) == [wanted(1) + " Follow us"] * 20
 
 
+@pytest.mark.parametrize("tag", ["article", "div class=content", "section"])
+@pytest.mark.parametrize("body", ["p", "div"])
+def test_copies_under_differing_adverts_lose_nothing(tag, body):
+    def story(k, advert):
+        text = f"A story of its own, number {k}, told at some length."
+        end = tag.split()[0]
+        return f"<ul><li>Buy {advert}</ul><{tag}><h1>Title {k}</h1><{body}>{text}</{body}></{end}>", f"Title {k} {text}"
+
+    pages = [story(0, k) for k in range(60)] + [story(k, k % 3) for k in range(1, 5)]
+    got = w._extract([html for html, _ in pages], w.Induction())
+    assert all(text in found for found, (_, text) in zip(got, pages, strict=True))
+
+
+def test_a_text_of_its_own_in_a_template_slot_stays():
+    pages = [page(k).replace("Follow us", f"Only here {k}" if k < 3 else "Follow us") for k in range(40)]
+    got = w._extract(pages, w.Induction())
+    assert got == [wanted(k) + (f" Only here {k}" if k < 3 else "") for k in range(40)]
+
+
 def brute_match(a, b):
     if a.key != b.key:
         return 0
