@@ -1,7 +1,7 @@
 """Main text of web pages by wrapper induction.
 
-Pages of a host are dealt in groups of about ``group`` by hash, so that a host with very many pages is many
-groups. In a group every page's tree is aligned with that of the first by simple tree matching: two
+The different pages of a host are dealt in groups of about ``group`` by hash, so that a host with very many
+pages is many groups; copies go with their page, which is read once. In a group every page's tree is aligned with that of the first by simple tree matching: two
 nodes match if their tags and classes do, and of their children as many as can in order,
 counted by the nodes matched below them. Neighbouring blocks alike that hold nothing but text
 (paragraphs, list items) are one slot, whatever their number. A slot that the group's pages fill
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,8 +50,8 @@ _OUTSIDE = frozenset("header".split())
 _MAIN = ("article", "main")
 _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre #text".split())
 _WORD = re.compile(r"[a-z0-9]+")
-#: Pages in a group held at once.
-_HELD = 256
+#: Different pages in a group held at once, rows of copies, and pages a task remembers.
+_HELD, _ROWS, _SEEN = 256, 1_000, 100_000
 #: More children than these are taken as slots by their tag alone, or matched place by place.
 _MANY, _WIDE = 64, 100_000
 
@@ -262,24 +263,51 @@ def _extract(pages: list[str], how: Induction) -> list[str]:
     return [main_text(tree, found) for tree, found in zip(trees, template, strict=True)]
 
 
+def _sent_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose page this task has sent before, as far as it remembers, go without the html."""
+    seen: set[tuple[str, str]] = set()
+    for batch in batches:
+        again = []
+        for page in zip(batch["host"].to_pylist(), batch["digest"].to_pylist(), strict=True):
+            if len(seen) >= _SEEN:
+                seen.clear()
+            again.append(page in seen)
+            seen.add(page)
+        html = pc.if_else(pa.array(again, pa.bool_()), pa.scalar(None, pa.string()), batch["html"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], html], batch.schema.names)
+
+
 def _extract_groups(batches: Iterator[pa.RecordBatch], how: Induction) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by group; a group's pages are held together, up to a bound."""
-    group, held = None, []
+    """Rows sorted by group, in it those with html first, by digest; a group's different pages are held together."""
+    group: tuple | None = None
+    pages: dict[str, str] = {}  # digest to html, not yet extracted
+    texts: dict[str, str] = {}  # digest to text
+    held: list[tuple] = []  # rows that wait for their text
 
     def done() -> pa.RecordBatch:
-        texts = _extract([html for *_, html in held], how)
-        ids = pa.array([r[0] for r in held], kind)
-        return pa.RecordBatch.from_arrays([ids, pa.array([r[1] for r in held]), pa.array(texts, pa.string())], list("abc"))
+        texts.update(zip(pages, _extract(list(pages.values()), how), strict=True) if pages else ())
+        rows = [(key, url, texts[digest]) for key, url, digest in held]
+        pages.clear()
+        held.clear()
+        columns = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], list("abc"))
 
-    kind = None
     for batch in batches:
-        kind = batch.column(2).type
-        for host, part, key, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if (host, part) != group or len(held) >= _HELD:
+        kinds = [batch["id"].type, pa.string(), pa.string()]
+        for host, part, digest, key, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (host, part) != group:
                 if held:
                     yield done()
-                group, held = (host, part), []
-            held.append((key, url, html))
+                group = (host, part)
+                texts.clear()
+            if html is None:
+                if pages or len(held) >= _ROWS:
+                    yield done()
+            elif digest not in pages and digest not in texts:
+                if len(pages) >= _HELD:
+                    yield done()
+                pages[digest] = html
+            held.append((key, url, digest))
     if held:
         yield done()
 
@@ -300,19 +328,28 @@ def extract_main_text(
 ) -> DataFrame:
     """``key``, ``url`` and the main text of every page."""
     ship(pages.sparkSession)
-    rows = pages.select(host_of(url).alias("host"), F.col(key).alias("id"), F.col(url).alias("url"), F.coalesce(html, F.lit("")).alias("html"))
-    # hosts of more than a group are dealt over several; Spark decides by its size how this list is joined
+    rows = pages.select(
+        host_of(url).alias("host"), F.col(key).alias("id"), F.col(url).alias("url"), F.coalesce(html, F.lit("")).alias("html")
+    ).withColumn("digest", F.md5("html"))
+    # hosts of more different pages than a group are dealt over several; Spark decides by its size how this list is joined
     large = written(
-        rows.groupBy("host").count().where(F.col("count") > group).select("host", F.ceil(F.col("count") / group).alias("parts")),
+        rows.select("host", "digest")
+        .distinct()
+        .groupBy("host")
+        .count()
+        .where(F.col("count") > group)
+        .select("host", F.ceil(F.col("count") / group).alias("parts")),
         "large-hosts",
     )
     dealt = rows.join(large, "host", "left").select(
-        "host", F.pmod(F.xxhash64("id", "url"), F.coalesce("parts", F.lit(1))).alias("part"), "id", "url", "html"
+        "host", F.pmod(F.xxhash64("digest"), F.coalesce("parts", F.lit(1))).alias("part"), "digest", "id", "url", "html"
     )
     kind = pages.schema[key].dataType.simpleString()
+    # copies follow the page without its html
     found = (
-        dealt.repartition("host", "part")
-        .sortWithinPartitions("host", "part", "id", "url")
+        dealt.mapInArrow(_sent_once, f"host string, part bigint, digest string, id {kind}, url string, html string")
+        .repartition("host", "part")
+        .sortWithinPartitions("host", "part", F.col("html").isNull(), "digest")
         .mapInArrow(lambda batches: _extract_groups(batches, how), f"id {kind}, url string, text string")
     )
     return found.withColumnsRenamed({"id": key, "url": url})

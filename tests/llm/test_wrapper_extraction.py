@@ -1,6 +1,7 @@
 import re
 from html import unescape
 
+import pyarrow as pa
 import pytest
 
 from tabloom.llm import wrapper_extraction as w
@@ -110,3 +111,23 @@ def test_large_hosts_are_many_groups(spark):
     assert len(texts) == 202 and texts[(None, None)] == "" and texts[(7, "")] == "z"
     assert all(texts[(k, f"http://Big.example:80/{k}")] == wanted(k) for k in range(200))
     assert w.extract_main_text(df.where("false")).count() == 0
+
+
+def test_a_host_swamped_by_copies_is_induced(spark):
+    rows = [(k, f"http://big.example/{k}", page(k if k < 100 else 100)) for k in range(3_000)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(6)
+    got = w.extract_main_text(df).collect()
+    assert sorted((r.page_id, r.url, r.text) for r in got) == [(k, url, wanted(min(k, 100))) for k, url, _ in rows]
+
+
+def test_copies_are_held_a_few_at_a_time(monkeypatch):
+    monkeypatch.setattr(w, "_ROWS", 3)
+    monkeypatch.setattr(w, "_SEEN", 20)
+    names = ["host", "part", "digest", "id", "url", "html"]
+    rows = [("h", k % 9 % 2, str(k % 9), k, None, f"<p>{k % 9}") for k in range(90)] + [("i", 0, "x", 90, "u", "<p>x")]
+    kinds = pa.schema(zip(names, [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string()]))
+    sent = list(w._sent_once([pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], kinds)]))
+    assert 0 < sent[0]["html"].null_count < 90
+    order = sorted(sent[0].to_pylist(), key=lambda r: (r["host"], r["part"], r["html"] is None, r["digest"]))
+    out = w._extract_groups([pa.RecordBatch.from_pylist(order, kinds)], w.Induction())
+    assert {r["a"]: r["c"] for b in out for r in b.to_pylist()} == {k: str(k % 9) for k in range(90)} | {90: "x"}
