@@ -1,7 +1,8 @@
 """Main text of web pages by wrapper induction.
 
 The different pages of a host are dealt in groups of about ``group`` by hash, so that a host with very many
-pages is many groups; copies go with their page, which is read once. In a group every page's tree is aligned with that of the first by simple tree matching: two
+pages is many groups; copies go with their page, which is read once. In a group every page's tree is aligned with that of the first by simple tree matching, and what
+finds no place there with the next page that has such slots: two
 nodes match if their tags and classes do, and of their children as many as can in order,
 counted by the nodes matched below them. Neighbouring blocks alike that hold nothing but text
 (paragraphs, list items) are one slot, whatever their number. A slot that the group's pages fill
@@ -184,32 +185,51 @@ def _witness(page: Slot) -> tuple[str, ...]:
 
 
 def template_slots(pages: list[Slot], how: Induction = Induction()) -> list[set[int]]:
-    """For each page of a group the ids of its slots that are template: those it fills with a text of the template."""
+    """For each page of a group the ids of its slots that are template: those it fills with a text of the template.
+
+    Slots that find no place in the first page are judged against the first page that has such a slot, and so
+    on, until fewer than ``how.witnesses`` different pages are left.
+    """
     witness = [_witness(page) for page in pages]
-    first = pages[0]
-    matched: list[list[tuple[Slot, Slot]]] = []  # for each page its leaves and those of the first page
-    filled: dict[int, dict[tuple[str, ...], str]] = defaultdict(dict)  # slot of the first page: one text of a witness
-    shared: dict[int, dict[str, set[tuple[str, ...]]]] = defaultdict(lambda: defaultdict(set))  # and who has a text
-    for page, who in zip(pages, witness, strict=True):
-        pairs: dict[int, Slot] = {}
-        if page is first:
-            pairs = {id(s): s for s in _all(first)}
-        elif page.key == first.key:
-            align(page, first, {}, pairs)
-        found = [(leaf, home) for leaf in _leaves(page) if (home := pairs.get(id(leaf))) is not None and not home.kids]
-        matched.append(found)
-        for leaf, home in found:
-            text = leaf.text()
-            filled[id(home)].setdefault(who, text)
-            shared[id(home)][text].add(who)
-    fixed: dict[int, set[str]] = {}
-    for leaf in _leaves(first):
-        n, texts = len(filled[id(leaf)]), shared[id(leaf)]
-        if n >= how.witnesses:
-            stock = leaf.key[0] not in _PROSE and len(set(filled[id(leaf)].values())) <= how.stock * n
-            least = 2 if stock else how.same * n
-            fixed[id(leaf)] = {text for text, who in texts.items() if len(who) >= least}
-    return [{id(leaf) for leaf, home in found if leaf.text() in fixed.get(id(home), ())} for found in matched]
+    template: list[set[int]] = [set() for _ in pages]
+    # slots that go by their name anyway need no judgement
+    open_leaves = [{id(leaf): leaf for leaf in _shown(page, True) if any(_texts(leaf.blocks))} for page in pages]
+    left = list(range(len(pages)))
+    while len({witness[k] for k in left}) >= how.witnesses:
+        first = pages[left[0]]
+        matched: list[list[tuple[Slot, Slot]]] = []  # for each page its leaves and those of the first page
+        filled: dict[int, dict[tuple[str, ...], str]] = defaultdict(dict)  # slot of the first page: one text of a witness
+        shared: dict[int, dict[str, set[tuple[str, ...]]]] = defaultdict(lambda: defaultdict(set))  # and who has a text
+        for k in left:
+            pairs: dict[int, Slot] = {}
+            if pages[k] is first:
+                pairs = {id(s): s for s in _all(first)}
+            else:
+                align(pages[k], first, {}, pairs)
+            found = [
+                (leaf, home)
+                for leaf in open_leaves[k].values()
+                if (home := pairs.get(id(leaf))) is not None and not home.kids and id(home) in open_leaves[left[0]]
+            ]
+            matched.append(found)
+            for leaf, home in found:
+                text = leaf.text()
+                filled[id(home)].setdefault(witness[k], text)
+                shared[id(home)][text].add(witness[k])
+        fixed: dict[int, set[str]] = {}
+        for leaf in open_leaves[left[0]].values():
+            n, texts = len(filled[id(leaf)]), shared[id(leaf)]
+            if n >= how.witnesses:
+                stock = leaf.key[0] not in _PROSE and len(set(filled[id(leaf)].values())) <= how.stock * n
+                least = 2 if stock else how.same * n
+                fixed[id(leaf)] = {text for text, who in texts.items() if len(who) >= least}
+        for k, found in zip(left, matched, strict=True):
+            template[k].update(id(leaf) for leaf, home in found if leaf.text() in fixed.get(id(home), ()))
+            for leaf, home in found:
+                if id(home) in fixed or pages[k] is first:
+                    del open_leaves[k][id(leaf)]
+        left = [k for k in left if open_leaves[k] and pages[k] is not first]
+    return template
 
 
 def _all(slot: Slot) -> Iterator[Slot]:

@@ -52,6 +52,14 @@ def test_a_text_of_its_own_in_a_template_slot_stays():
     assert got == [wanted(k) + (f" Only here {k}" if k < 3 else "") for k in range(40)]
 
 
+@pytest.mark.parametrize("odd", ["", "<p>Nothing here", "<section><h2>An odd page</h2></section>"])
+def test_every_layout_of_a_host_is_induced(odd):
+    other = "<section><div class=top>All our shops</div><h1>Shop {0}</h1><p>Where shop {0} is.</p><div class=end>Come in</div></section>"
+    pages = [odd] + [page(k) if k % 2 else other.format(k) for k in range(40)]
+    got = w._extract(pages, w.Induction())
+    assert got[1:] == [wanted(k) if k % 2 else f"Shop {k} Where shop {k} is." for k in range(40)]
+
+
 def brute_match(a, b):
     if a.key != b.key:
         return 0
