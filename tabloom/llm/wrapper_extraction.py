@@ -7,8 +7,8 @@ nodes match if their tags and classes do, and of their children as many as can i
 counted by the nodes matched below them. Neighbouring blocks alike that hold nothing but text
 (paragraphs, list items) are one slot, whatever their number. A slot that the group's pages fill
 with the same text, or from a small stock of texts, is template on the pages that have such a text; the rest is
-content, and so is the longest slot of an article. Pages that share their longest text and h1 are
-copies and one witness, and a group of few witnesses induces nothing.
+content, and so is the longest slot of an article. Pages that share their longest texts, up to three
+quarters of the page, and the h1 are copies and one witness, and a group of few witnesses induces nothing.
 
 Elements that are boilerplate by their name or class (menus, forms, adverts, comments and so on)
 go in any case, and where a page has an article or a main element the content is there.
@@ -53,6 +53,8 @@ _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre #text".split())
 _WORD = re.compile(r"[a-z0-9]+")
 #: Different pages in a group held at once, rows of copies, and pages a task remembers.
 _HELD, _ROWS, _SEEN = 256, 1_000, 100_000
+#: Pages that share the longest texts up to this share of them are copies.
+_MOST = 0.75
 #: More children than these are taken as slots by their tag alone, or matched place by place.
 _MANY, _WIDE = 64, 100_000
 
@@ -178,10 +180,16 @@ def _parts(page: Slot) -> tuple[list[Slot], bool]:
 
 
 def _witness(page: Slot) -> tuple[str, ...]:
-    """What copies of a page share when their menus or adverts differ: the longest text and the h1."""
+    """What copies of a page share when their menus or adverts differ: the longest texts, up to most of it, and the h1."""
     parts, in_main = _parts(page)
     leaves = [(leaf.key[0], leaf.text()) for part in parts for leaf in _shown(part, in_main)]
-    return (max((text for _, text in leaves), key=len, default=""), *(text for tag, text in leaves if tag == "h1"))
+    longest, size, whole = [], 0, sum(len(text) for _, text in leaves)
+    for text in sorted((text for _, text in leaves), key=len, reverse=True):
+        if size >= _MOST * whole:
+            break
+        longest.append(text)
+        size += len(text)
+    return (*longest, "", *(text for tag, text in leaves if tag == "h1"))
 
 
 def template_slots(pages: list[Slot], how: Induction = Induction()) -> list[set[int]]:
