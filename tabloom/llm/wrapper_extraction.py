@@ -22,6 +22,7 @@ than key, url and html play no part.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -55,8 +56,8 @@ _WORD = re.compile(r"[a-z0-9]+")
 _HELD, _ROWS, _SEEN = 256, 1_000, 100_000
 #: Pages that share the longest texts up to this share of them are copies.
 _MOST = 0.75
-#: More children than these are taken as slots by their tag alone, or matched place by place.
-_MANY, _WIDE = 64, 100_000
+#: Children are matched in one table up to this size, longer lists between anchors.
+_WIDE = 100_000
 
 
 class Induction(NamedTuple):
@@ -79,12 +80,10 @@ class Slot:
     def __init__(self, block: Block):
         self.key, self.blocks = block.key, [block]
         self.kids: list[Slot] = []
-        many = len(block.kids) > _MANY
         for kid in block.kids if not _flat(block) else ():
             last = self.kids[-1] if self.kids else None
-            if last and last.key == kid.key and (many or (not last.kids and _flat(kid))):
+            if last and last.key == kid.key and not last.kids and _flat(kid) and _flat(last.blocks[0]):
                 last.blocks.append(kid)
-                last.kids = []
             else:
                 self.kids.append(Slot(kid))
         self.size = 1 + sum(k.size for k in self.kids)
@@ -116,36 +115,40 @@ def match(a: Slot, b: Slot, known: dict[tuple[int, int], int]) -> int:
     if not a.kids or not b.kids:
         return 1
     pair = (id(a), id(b))
-    if pair not in known and len(a.kids) * len(b.kids) > _WIDE:
-        known[pair] = 1 + sum(match(x, y, known) for x, y in zip(a.kids, b.kids))
     if pair not in known:
-        before = [0] * (len(b.kids) + 1)
-        for x in a.kids:
-            row = [0]
-            for j, y in enumerate(b.kids):
-                row.append(max(before[j + 1], row[j], before[j] + match(x, y, known)))
-            before = row
-        known[pair] = 1 + before[-1]
+        known[pair] = 1 + sum(match(x, y, known) for x, y in _paired(a.kids, b.kids, known))
     return known[pair]
 
 
 def align(a: Slot, b: Slot, known: dict[tuple[int, int], int], into: dict[int, Slot]) -> None:
     """The slots of ``a`` that the best matching pairs with slots of ``b``: id to slot."""
     into[id(a)] = b
-    if not a.kids or not b.kids:
+    for x, y in _paired(a.kids, b.kids, known):
+        align(x, y, known, into)
+
+
+def _paired(a: list[Slot], b: list[Slot], known: dict[tuple[int, int], int]) -> Iterator[tuple[Slot, Slot]]:
+    """The pairs of the best matching of two lists, in any order."""
+    if not a or not b:
         return
-    if len(a.kids) * len(b.kids) > _WIDE:
-        for x, y in zip(a.kids, b.kids):
-            if x.key == y.key:
-                align(x, y, known, into)
+    if len(a) * len(b) > _WIDE:
+        i = j = 0
+        for k, m in [*_anchors(a, b), (len(a), len(b))]:
+            if (k - i) * (m - j) < len(a) * len(b):
+                yield from _paired(a[i:k], b[j:m], known)
+            else:  # nothing to hold on to
+                yield from ((x, y) for x, y in zip(a, b) if x.key == y.key)
+            if k < len(a):
+                yield a[k], b[m]
+            i, j = k + 1, m + 1
         return
-    best = [[0] * (len(b.kids) + 1)]
-    for x in a.kids:
+    best = [[0] * (len(b) + 1)]
+    for x in a:
         row = [0]
-        for j, y in enumerate(b.kids):
+        for j, y in enumerate(b):
             row.append(max(best[-1][j + 1], row[j], best[-1][j] + match(x, y, known)))
         best.append(row)
-    i, j = len(a.kids), len(b.kids)
+    i, j = len(a), len(b)
     while i and j:
         if best[i][j] == best[i - 1][j]:
             i -= 1
@@ -153,7 +156,37 @@ def align(a: Slot, b: Slot, known: dict[tuple[int, int], int], into: dict[int, S
             j -= 1
         else:
             i, j = i - 1, j - 1
-            align(a.kids[i], b.kids[j], known, into)
+            yield a[i], b[j]
+
+
+def _anchors(a: list[Slot], b: list[Slot]) -> list[tuple[int, int]]:
+    """Places of slots found once in both lists, by key and text or by key alone, as many as keep their order."""
+    for name in (lambda slot: (slot.key, slot.text()), lambda slot: slot.key):
+        places: list[dict] = [defaultdict(list), defaultdict(list)]
+        for slots, found in zip((a, b), places, strict=True):
+            for k, slot in enumerate(slots):
+                found[name(slot)].append(k)
+        both = [(at[0], places[1][n][0]) for n, at in places[0].items() if len(at) == 1 and len(places[1].get(n, ())) == 1]
+        if both:
+            return _rising(both)
+    return []
+
+
+def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest part of pairs, sorted by the first, in which the second rises too."""
+    ends: list[int] = []  # the least last place of a chain of each length
+    last: list[int] = []
+    before: list[int] = []
+    for n, (_, m) in enumerate(pairs):
+        at = bisect_left(ends, m)
+        before.append(last[at - 1] if at else -1)
+        ends[at:at + 1] = [m]
+        last[at:at + 1] = [n]
+    chain, n = [], last[-1]
+    while n >= 0:
+        chain.append(pairs[n])
+        n = before[n]
+    return chain[::-1]
 
 
 def _leaves(slot: Slot) -> Iterator[Slot]:

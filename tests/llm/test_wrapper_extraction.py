@@ -60,6 +60,25 @@ def test_every_layout_of_a_host_is_induced(odd):
     assert got[1:] == [wanted(k) if k % 2 else f"Shop {k} Where shop {k} is." for k in range(40)]
 
 
+def wide(k, n):
+    items = [f"<div><h2>Head {k}.{i}</h2><p>Item {k}.{i} here</p></div>" for i in range(n)]
+    fixed = [f"<div><h2>Shop {i}</h2><p>All about shop {i}</p></div>" for i in range(n)]
+    new = "<div><h2>New</h2><p>Only on {0}</p></div>".format(k) * (k % 3 if n > 160 else 0)  # in the longest lists
+    return "<body>" + new + "".join(f + x for f, x in zip(fixed, items)) + "</body>"
+
+
+@pytest.mark.parametrize("n", [20, 40, 200])
+def test_slots_are_judged_apart_at_every_width(n):
+    got = w._extract([wide(k, n) for k in range(10)], w.Induction())
+    for k, text in enumerate(got):
+        assert "All about shop" not in text and all(f"Item {k}.{i} here" in text for i in range(n))
+
+
+def test_links_beside_many_texts():
+    links = "".join(f"<div><a href=/{i}>A longer name of page {i}</a></div><p>Text {i}</p>" for i in range(50))
+    assert w._extract([links], w.Induction()) == [" ".join(f"Text {i}" for i in range(50))]
+
+
 def brute_match(a, b):
     if a.key != b.key:
         return 0
