@@ -13,6 +13,7 @@ from tabloom.llm import (
     digest_index,
     divergence_rules,
     packing,
+    pattern_packing,
     personal_data,
     ring_sharding,
     simhash,
@@ -123,3 +124,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=2, shingle=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op11_pattern_packing")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    packed = pattern_packing.pack_documents(table(spark, sf_dir, "documents"), path, shape=F.crc32)
+    return packed.withColumnRenamed("ids", "ids_crc32")
