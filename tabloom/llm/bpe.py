@@ -53,7 +53,13 @@ class ByteBpe:
             return self.core.encode_to_numpy(text, allowed_special="all")
         return np.concatenate([ids for part in self.special.split(text) for ids in self._around_runs(part)])
 
-    def _around_runs(self, text: str) -> Iterator[np.ndarray]:
+    def encode_plain(self, text: str) -> np.ndarray:
+        """As ``encode``, with special tokens in the text read as plain text."""
+        if len(text) < _LONG or not _RUN.search(text):
+            return self.core.encode_to_numpy(text, allowed_special=set(), disallowed_special=())
+        return np.concatenate(list(self._around_runs(text, set())))
+
+    def _around_runs(self, text: str, special: set[str] | str = "all") -> Iterator[np.ndarray]:
         """The ids of a special token or of text without one.
 
         The pattern cuts before a run of white space, and before its last character if text follows. What
@@ -62,10 +68,10 @@ class ByteBpe:
         at = 0
         for run in _RUN.finditer(text):
             end = run.end() - (run.end() < len(text))
-            yield self.core.encode_to_numpy(text[at : run.start()], allowed_special="all")
+            yield self.core.encode_to_numpy(text[at : run.start()], allowed_special=special, disallowed_special=())
             yield np.array(self.core._encode_single_piece(text[run.start() : end]), np.uint32)
             at = end
-        yield self.core.encode_to_numpy(text[at:], allowed_special="all")
+        yield self.core.encode_to_numpy(text[at:], allowed_special=special, disallowed_special=())
 
     def decode(self, ids: np.ndarray) -> str:
         return self.core.decode_bytes(ids.tolist()).decode("utf-8", errors="replace")

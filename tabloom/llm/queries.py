@@ -17,6 +17,7 @@ from tabloom.llm import (
     personal_data,
     ring_sharding,
     simhash,
+    token_alignment,
     wrapper_extraction,
 )
 from tabloom.llm.registry import ORACLES, QUERIES, query, table
@@ -131,3 +132,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     packed = pattern_packing.pack_documents(table(spark, sf_dir, "documents"), path, shape=F.crc32)
     return packed.withColumnRenamed("ids", "ids_crc32")
+
+
+@query("op12_pair_bitmaps")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    corpus = token_alignment.align_corpus(table(spark, sf_dir, "documents"), *paths, digest=True)
+    return token_alignment.document_alignments(corpus).withColumnRenamed("groups", "groups_sha256")
