@@ -13,6 +13,7 @@ from tabloom.llm import (
     digest_index,
     divergence_rules,
     packing,
+    pair_search,
     pattern_packing,
     personal_data,
     ring_sharding,
@@ -21,7 +22,7 @@ from tabloom.llm import (
     wrapper_extraction,
 )
 from tabloom.llm.registry import ORACLES, QUERIES, query, table
-from tabloom.llm.sql import ANSWERS, DIGESTS, RULES
+from tabloom.llm.sql import ANSWERS, DIGESTS, RANKED, RULES
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -139,3 +140,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     corpus = token_alignment.align_corpus(table(spark, sf_dir, "documents"), *paths, digest=True)
     return token_alignment.document_alignments(corpus).withColumnRenamed("groups", "groups_sha256")
+
+
+@query("op13_pair_maxscore", RANKED)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = pair_search.build_index(table(spark, sf_dir, "documents"))
+    return pair_search.search(index, table(spark, sf_dir, "benchmark"), k=20)

@@ -120,3 +120,27 @@ from far
 
 
 RULES = _rules()
+
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+RANKED = f"""
+with read as (select doc_id, {_TERMS} as terms from documents),
+     sizes as (select count(*) as n_docs, sum(len(terms)) as n_terms from read where len(terms) > 0),
+     items as (select item_id, term, count(*) as times
+               from (select item_id, unnest({_TERMS}) as term from benchmark) t group by item_id, term),
+     held as (select doc_id, term, n, count(*) as tf
+              from (select doc_id, len(terms) as n, unnest(terms) as term from read) t
+              where term in (select term from items) group by doc_id, term, n),
+     weights as (select term, cast(floor(1000 * ln(cast(2 * n_docs + 2 as double) / (2 * count(*) + 1))) as bigint) as w
+                 from held, sizes group by term, n_docs),
+     impacts as (select doc_id, term,
+                        w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))) as impact
+                 from held join weights using (term), sizes),
+     scores as (select item_id, doc_id, cast(sum(times * impact) as bigint) as score
+                from items join impacts using (term) group by item_id, doc_id having sum(times * impact) > 0),
+     ranked as (select item_id, doc_id, score,
+                       cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank
+                from scores)
+select item_id, rank, doc_id, score from ranked where rank <= 20
+"""
