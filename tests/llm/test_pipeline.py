@@ -80,6 +80,16 @@ def test_odd_documents_pass_through(spark, odd):
     assert docs.count() > 0
 
 
+def test_very_long_numbers_pass_through(spark):
+    text = " ".join(f"word{i} {'0' * 10_000}{i}.1.1.1" for i in range(20)) + f" {'0' * 1_000_000}1.2.3.4 " + "end " * 3
+    docs = spark.createDataFrame([(1, text, "en", "s", len(text))], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for name, stage in pipeline.STAGES[1:]:
+        docs = stage(spark, docs, SF_DIR)
+        if name == "mask_personal_data":
+            assert docs.first().text.count("[IP]") == 21
+    assert docs.count() > 0
+
+
 def test_empty_table(spark, none):
     for _, stage in pipeline.STAGES:
         assert stage(spark, none, SF_DIR).count() == 0
