@@ -244,7 +244,15 @@ def train(
         .orderBy(F.xxhash64("_key"), "_key", "_y")
         .limit(how.rows)
     )
-    picked = documents.join(F.broadcast(sample), documents[key] == F.col("_key")).select("_y", text)
+    # rows that share a key and a label are one example, reduced in the tasks that read them
+    own = F.coalesce(F.col(text), F.lit(""))
+    picked = (
+        documents.select(F.col(key).alias("_key"), own.alias("_text"))
+        .join(F.broadcast(sample), "_key")
+        .groupBy("_key", "_y")
+        .agg(F.min_by("_text", F.struct(F.xxhash64("_text"), F.length("_text"))).alias("_text"))
+        .select("_y", "_text")
+    )
     rows = picked.mapInArrow(_feature_rows, "y double, x array<double>").toArrow()
     y = rows["y"].to_numpy()
     x = np.array(rows["x"].to_pylist(), float).reshape(len(y), len(FEATURES))
