@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.durable import written
@@ -11,7 +11,7 @@ from tabloom.durable import written
 _PLACE_BITS = 33
 
 
-def numbered(df: DataFrame, keys: list[str], rank: str, under: str | None = None) -> DataFrame:
+def numbered(df: DataFrame, keys: list[str | Column], rank: str, under: str | None = None) -> DataFrame:
     """The rows with their number from 0 in the order of ``keys``.
 
     ``keys`` must tell all rows apart, so that the ranges dealt to tasks can be cut anywhere and
