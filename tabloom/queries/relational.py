@@ -70,23 +70,6 @@ _sql(
        where not exists (select 1 from (select distinct o_custkey from orders where o_orderstatus = 'P') o
                          where o_custkey = c_custkey)""",
 )
-_sql(
-    "join_theta",
-    "orders",
-    """select a_key, count(*) as later, min(b_key) as first_key
-       from (select o_orderkey as a_key, o_custkey as a_cust, o_orderdate as a_date,
-                    next + floor(datediff(o_orderdate, date '1970-01-01') / 60) as a_bin
-             from orders lateral view explode(array(0, 1)) as next) a
-       join (select o_orderkey as b_key, o_custkey as b_cust, o_orderdate as b_date,
-                    floor(datediff(o_orderdate, date '1970-01-01') / 60) as b_bin from orders) b
-       on a_cust = b_cust and a_bin = b_bin and b_date > a_date and datediff(b_date, a_date) <= 60
-       group by a_key""",
-    oracle="""select a.o_orderkey as a_key, count(*) as later, min(b.o_orderkey) as first_key
-              from orders a join orders b on a.o_custkey = b.o_custkey and b.o_orderdate > a.o_orderdate
-                   and date_diff('day', cast(a.o_orderdate as date), cast(b.o_orderdate as date)) <= 60
-              group by a.o_orderkey""",
-)
-
 _sql(
     "agg_group",
     "lineitem",
