@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 # Element names of HTML by the part they play.
@@ -28,10 +29,8 @@ _CONTAINERS = frozenset(
     " table tbody td tfoot th thead ul".split()
 )
 
-_TOKEN = re.compile(
-    r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*+>?|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)",
-    re.S,
-)
+_TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*+>?|<(/?)([A-Za-z][^\s/>]*+)", re.S)
+_PLAIN = re.compile(r"[^>\"']*+")
 _CLASS = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", re.I)
 
 
@@ -65,6 +64,7 @@ class _Builder:
         self.root = Block("#root")
         self.open = [self.root]
         self.deeper: list[str] = []
+        self.deeper_names: Counter[str] = Counter()
         self.pieces: list[str] = []
         self.linked = self.links = 0
 
@@ -105,6 +105,7 @@ class _Builder:
         self.close(CLOSES.get(tag, ()))
         if len(self.open) > DEEPEST:
             self.deeper.append(tag)
+            self.deeper_names[tag] += 1
             return
         block = Block(tag, _names(attributes))
         self.open[-1].kids.append(block)
@@ -117,9 +118,11 @@ class _Builder:
             return
         self.flush()
         if self.deeper:
-            if tag in self.deeper:
-                while self.deeper.pop() != tag:
-                    pass
+            if self.deeper_names[tag]:
+                closed = None
+                while closed != tag:
+                    closed = self.deeper.pop()
+                    self.deeper_names[closed] -= 1
             return
         for depth in range(len(self.open) - 1, 0, -1):
             if self.open[depth].tag == tag:
@@ -128,10 +131,28 @@ class _Builder:
                 return
 
 
+def _tag_end(html: str, at: int, lost: set[str]) -> int:
+    """The place of the > that ends a tag, or the end of the page.
+
+    A quote that is never closed is no quote: the tag ends at the next >. Which quotes occur no more is kept in ``lost``,
+    so that none is looked for twice.
+    """
+    while True:
+        at = _PLAIN.match(html, at).end()
+        if at == len(html) or html[at] == ">":
+            return at
+        quote = html[at]
+        closing = -1 if quote in lost else html.find(quote, at + 1)
+        if closing < 0:
+            lost.add(quote)
+        at = max(at, closing) + 1
+
+
 def parse(html: str) -> Block:
     """The blocks of a page, texts with references decoded and white space made single."""
     page = _Builder()
     at = 0
+    lost: set[str] = set()
     while (found := _TOKEN.search(html, at)) is not None:
         page.say(html[at : found.start()])
         at = found.end()
@@ -139,10 +160,12 @@ def parse(html: str) -> Block:
         if tag is None:
             continue
         tag = tag.lower()
+        end = _tag_end(html, at, lost)
+        attributes, at = html[at:end], end + 1
         if found[1]:
             page.end(tag)
             continue
-        page.start(tag, found[3])
+        page.start(tag, attributes)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(html, at)
             at = end.start() if end else len(html)

@@ -1,7 +1,8 @@
 """Main text of web pages by wrapper induction.
 
 The different pages of a host are dealt in groups of about ``group`` by hash, so that a host with very many
-pages is many groups; copies go with their page, which is read once. In a group every page's tree is aligned with that of the first by simple tree matching, and what
+pages is many groups; a page is read once, and its text joined to its copies. In a group every page's tree is
+aligned with that of the first by simple tree matching, and what
 finds no place there with the next page that has such slots: two
 nodes match if their tags and classes do, and of their children as many as can in order,
 counted by the nodes matched below them. Neighbouring blocks alike that hold nothing but text
@@ -10,8 +11,10 @@ with the same text, or from a small stock of texts, is template on the pages tha
 content, and so is the longest slot of an article. Pages that share their longest texts, up to three
 quarters of the page, and the h1 are copies and one witness, and a group of few witnesses induces nothing.
 
-Elements that are boilerplate by their name or class (menus, forms, adverts, comments and so on)
-go in any case, and where a page has an article or a main element the content is there.
+Blocks that are boilerplate by their name or class (menus, forms, adverts, comments and so on)
+go too, but names are evidence and no verdict: a block that holds the story, by an article or main element that lies
+nowhere else, by most of the text that is no link or by the only h1, stays. Where a page has a main element the content is
+there, or else in its articles.
 
 Defined results: null or empty html gives an empty text, as does a page without content. A null url, or one
 without a host, belongs to the host "". Pages that repeat a page_id are pages of their own. Any
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,24 +39,33 @@ from tabloom.durable import written
 from tabloom.llm.common import ship
 from tabloom.llm.html_tree import RAW, Block, parse
 
-# Names of elements, and words of classes, ids and roles, that mark what is no content.
-_TAGS = RAW | frozenset(
-    "head nav footer aside form noscript template svg math canvas object audio video button select datalist dialog"
-    " menu".split()
+# Elements without text of a page, elements that are mostly no content, and words of classes, ids and
+# roles that mark what is no content or say nothing about it.
+_NEVER = RAW | frozenset(
+    "head noscript template svg math canvas object audio video button select datalist dialog".split()
 )
+_TAGS = frozenset("nav footer aside form menu".split())
 _MARKS = frozenset(
     "ad ads advert advertisement advertising adverts alert aside banner breadcrumb breadcrumbs comment comments consent"
     " contentinfo cookie cookies copyright discussion disqus feedback footer gdpr login masthead menu menubar modal nav"
     " navbar navigation newsletter notice notices overlay pager pagination popup promo promoted promotion rail related"
     " reply replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription"
-    " toolbar topbar widget".split()
+    " teaser teasers toolbar topbar widget".split()
 )
+_READERS = frozenset("comment comments discussion disqus feedback replies reply respond".split())
 _OUTSIDE = frozenset("header".split())
+_NEUTRAL = frozenset(
+    "area article bar block body bottom box btn button buttons col column container content desktop entry field form"
+    " global group head icon icons inner item items js left link links list main mobile module outer page panel policy"
+    " post posts primary region right row section secondary site stories text title top wrap wrapper zone".split()
+)
 _MAIN = ("article", "main")
+#: Whether a block goes: never by its name, whatever stands around it, or outside the main block alone.
+_STAYS, _GOES, _GOES_OUTSIDE = range(3)
 _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre #text".split())
 _WORD = re.compile(r"[a-z0-9]+")
-#: Different pages in a group held at once, rows of copies, and pages a task remembers.
-_HELD, _ROWS, _SEEN = 256, 1_000, 100_000
+#: Different pages in a group held at once, and pages a task remembers.
+_HELD, _SEEN = 256, 100_000
 #: Pages that share the longest texts up to this share of them are copies.
 _MOST = 0.75
 #: Children are matched in one table up to this size, longer lists between anchors.
@@ -75,10 +87,11 @@ def _flat(block: Block) -> bool:
 class Slot:
     """A block, or neighbouring blocks alike that hold only text."""
 
-    __slots__ = ("key", "blocks", "kids", "size")
+    __slots__ = ("key", "blocks", "kids", "size", "mark")
 
     def __init__(self, block: Block):
         self.key, self.blocks = block.key, [block]
+        self.mark = _mark(*block.key)
         self.kids: list[Slot] = []
         for kid in block.kids if not _flat(block) else ():
             last = self.kids[-1] if self.kids else None
@@ -91,6 +104,9 @@ class Slot:
     def text(self) -> str:
         return " ".join(_texts(self.blocks))
 
+    def goes(self, in_main: bool) -> bool:
+        return self.mark == _GOES or (self.mark == _GOES_OUTSIDE and not in_main)
+
 
 def _texts(blocks: list[Block]) -> Iterator[str]:
     for block in blocks:
@@ -99,13 +115,70 @@ def _texts(blocks: list[Block]) -> Iterator[str]:
         yield from _texts(block.kids)
 
 
-def _boilerplate(tag: str, names: str, in_main: bool) -> bool:
-    if tag in _TAGS or (tag == "header" and not in_main):
-        return True
-    if not names or tag in _MAIN or tag in ("body", "html"):
-        return False
-    words = _WORD.findall(names)
-    return not _MARKS.isdisjoint(words) or (not in_main and not _OUTSIDE.isdisjoint(words))
+def _mark(tag: str, names: str) -> int:
+    """What the name of a block and the words of its class, id and role say.
+
+    A class counts as a whole: one that has a word of no meaning here, as ``has-sidebar`` or ``ad-free``, says nothing.
+    """
+    if tag in _NEVER or tag in _TAGS:
+        return _GOES
+    if tag in ("main", "body", "html"):
+        return _STAYS
+    found = _GOES_OUTSIDE if tag == "header" else _STAYS
+    for name in names.split():
+        words = set(_WORD.findall(name)) - _NEUTRAL
+        if words and words <= _MARKS:
+            return _GOES
+        if words and words <= _OUTSIDE:
+            found = _GOES_OUTSIDE
+    return found
+
+
+def read_page(html: str) -> Slot:
+    """The slots of a page. Names are evidence and no verdict: what holds the story stays whatever it is called."""
+    page = Slot(parse(html))
+    while (wrapper := _wrapper(page)) is not None:
+        wrapper.mark = _STAYS
+    return page
+
+
+def _wrapper(page: Slot) -> Slot | None:
+    """The outermost block that goes by its name although the page's story is in it, if there is one.
+
+    That is where an article or main element, or else the h1, lies nowhere but in blocks that go. The
+    block must hold most of the text that is no link, or of its kind the page's only h1. Readers' comments beside an h1
+    are no story.
+    """
+    found: dict[str, list[tuple[Slot, ...]]] = {"story": [], "h1": []}
+    goes: list[Slot] = []
+    stack = [(page, ())]
+    whole = 0
+    size: dict[int, int] = defaultdict(int)  # unlinked text in the outermost block that goes
+    while stack:
+        slot, above = stack.pop()
+        if slot.key[0] in _NEVER:
+            continue
+        if slot.mark != _STAYS and not above:
+            above = (slot,)
+            goes.append(slot)
+        if slot.key[0] in _MAIN and slot.mark == _STAYS:
+            found["story"].append(above)
+        elif slot.key[0] == "h1":
+            found["h1"].append(above)
+        if not slot.kids:
+            own = sum(len(t.text) - t.linked for b in slot.blocks for t in _runs(b))
+            whole += own
+            for block in above:
+                size[id(block)] += own
+        stack += [(kid, above) for kid in slot.kids]
+    if () in found["story"] or (not found["story"] and () in found["h1"]) or not goes:
+        return None
+    largest = max(goes, key=lambda slot: size[id(slot)])
+    words = set(_WORD.findall(largest.key[1]))
+    if 2 * size[id(largest)] > whole and not (found["h1"] and () in found["h1"] and words & _READERS):
+        return largest
+    titled = [above[0] for above in found["h1"] if above and above[0].mark == _GOES and above[0].key[0] not in _TAGS]
+    return titled[0] if len(titled) == 1 == len(found["h1"]) else None
 
 
 def match(a: Slot, b: Slot, known: dict[tuple[int, int], int]) -> int:
@@ -198,7 +271,7 @@ def _leaves(slot: Slot) -> Iterator[Slot]:
 
 def _shown(slot: Slot, in_main: bool = False) -> Iterator[Slot]:
     """The leaves that are not boilerplate by name."""
-    if not _boilerplate(*slot.key, in_main):
+    if not slot.goes(in_main):
         if not slot.kids:
             yield slot
         for kid in slot.kids:
@@ -206,10 +279,9 @@ def _shown(slot: Slot, in_main: bool = False) -> Iterator[Slot]:
 
 
 def _parts(page: Slot) -> tuple[list[Slot], bool]:
-    """Where the content is, and whether that is an article or a main element."""
-    mains = [m for tag in _MAIN for m in _mains(page, tag)]
-    articles = [m for m in mains if m.key[0] == "article"] or mains
-    return articles or [page], bool(articles)
+    """Where the content is, and whether that is in main or article elements."""
+    mains = list(_mains(page))
+    return mains or [page], bool(mains)
 
 
 def _witness(page: Slot) -> tuple[str, ...]:
@@ -279,96 +351,98 @@ def _all(slot: Slot) -> Iterator[Slot]:
         yield from _all(kid)
 
 
-def _mains(slot: Slot, tag: str) -> Iterator[Slot]:
-    """The outermost elements of this name that are not in boilerplate."""
-    if slot.key[0] == tag:
+def _mains(slot: Slot) -> Iterator[Slot]:
+    """The outermost main and article elements that do not go."""
+    if slot.goes(False):
+        return
+    if slot.key[0] in _MAIN:
         yield slot
-    elif not _boilerplate(*slot.key, False):
+    else:
         for kid in slot.kids:
-            yield from _mains(kid, tag)
+            yield from _mains(kid)
 
 
-def _content(slot: Slot, template: set[int], in_main: bool) -> Iterator[str]:
-    if id(slot) in template and not slot.kids or _boilerplate(*slot.key, in_main):
+def _content(slot: Slot, template: set[int], in_main: bool, in_story: bool) -> Iterator[str]:
+    """The texts that stay; outside of the story a list of links is a menu."""
+    if id(slot) in template and not slot.kids or slot.goes(in_main):
         return
     if slot.kids:
         for kid in slot.kids:
-            yield from _content(kid, template, in_main)
+            yield from _content(kid, template, in_main, in_story or kid.key[0] == "article")
         return
-    leaves = [t for b in slot.blocks for t in _runs(b, in_main)]
+    leaves = [t for b in slot.blocks for t in _runs(b)]
     linked, size = sum(t.linked for t in leaves), sum(len(t.text) for t in leaves)
-    if not in_main and slot.key[0] in ("li", "div", "td") and linked > 0.8 * size:
-        return  # a list of links outside the article is a menu
+    if not in_story and slot.key[0] in ("li", "div", "td") and linked > 0.8 * size:
+        return
     yield from (t.text for t in leaves)
 
 
-def _runs(block: Block, in_main: bool) -> Iterator[Block]:
-    """The runs of text in a block that are not in boilerplate."""
+def _runs(block: Block) -> Iterator[Block]:
+    """The runs of text in a block."""
     if block.tag == "#text":
         yield block
-    elif not _boilerplate(*block.key, in_main):
-        for kid in block.kids:
-            yield from _runs(kid, in_main)
+    for kid in block.kids:
+        yield from _runs(kid)
 
 
 def main_text(page: Slot, template: set[int]) -> str:
     parts, in_main = _parts(page)
     if in_main:  # the main block of an article is content whatever other pages hold
         template = template - {id(max((s for p in parts for s in _shown(p, True)), key=lambda s: len(s.text()), default=page))}
-    return " ".join(t for part in parts for t in _content(part, template, in_main))
+    found = []
+    for part in parts:
+        in_story = part.key[0] == "article" or (in_main and not any(s.key[0] == "article" for s in _all(part)))
+        found += _content(part, template, in_main, in_story)
+    return " ".join(found)
 
 
 def _extract(pages: list[str], how: Induction) -> list[str]:
-    trees = [Slot(parse(html)) for html in pages]
+    trees = [read_page(html) for html in pages]
     template = template_slots(trees, how) if len(trees) >= how.witnesses else [set()] * len(trees)
     return [main_text(tree, found) for tree, found in zip(trees, template, strict=True)]
 
 
 def _sent_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose page this task has sent before, as far as it remembers, go without the html."""
+    """Pages, compressed, without those that this task has sent before, as far as it remembers."""
     seen: set[tuple[str, str]] = set()
+    packer = zstandard.ZstdCompressor()
     for batch in batches:
-        again = []
-        for page in zip(batch["host"].to_pylist(), batch["digest"].to_pylist(), strict=True):
+        new = []
+        for at, page in enumerate(zip(batch["host"].to_pylist(), batch["digest"].to_pylist(), strict=True)):
             if len(seen) >= _SEEN:
                 seen.clear()
-            again.append(page in seen)
-            seen.add(page)
-        html = pc.if_else(pa.array(again, pa.bool_()), pa.scalar(None, pa.string()), batch["html"])
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], html], batch.schema.names)
+            if page not in seen:
+                seen.add(page)
+                new.append(at)
+        if new:
+            kept = batch.take(pa.array(new))
+            packed = pa.array([packer.compress(html.encode()) for html in kept["html"].to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*kept.columns[:-1], packed], batch.schema.names)
 
 
 def _extract_groups(batches: Iterator[pa.RecordBatch], how: Induction) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by group, in it those with html first, by digest; a group's different pages are held together."""
+    """(host, digest, text) of pages sorted by group and digest; pages of a group are held together, copies once."""
     group: tuple | None = None
-    pages: dict[str, str] = {}  # digest to html, not yet extracted
-    texts: dict[str, str] = {}  # digest to text
-    held: list[tuple] = []  # rows that wait for their text
+    held: dict[str, str] = {}  # digest to html
+    last = None
 
     def done() -> pa.RecordBatch:
-        texts.update(zip(pages, _extract(list(pages.values()), how), strict=True) if pages else ())
-        rows = [(key, url, texts[digest]) for key, url, digest in held]
-        pages.clear()
+        digests, texts = list(held), _extract(list(held.values()), how)
         held.clear()
-        columns = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], list("abc"))
+        columns = [pa.array([group[0]] * len(digests)), pa.array(digests), pa.array(texts, pa.string())]
+        return pa.RecordBatch.from_arrays(columns, ["host", "digest", "text"])
 
+    unpacker = zstandard.ZstdDecompressor()
     for batch in batches:
-        kinds = [batch["id"].type, pa.string(), pa.string()]
-        for host, part, digest, key, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if (host, part) != group:
+        for host, part, digest, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (host, part) != group or len(held) >= _HELD:
                 if held:
                     yield done()
-                group = (host, part)
-                texts.clear()
-            if html is None:
-                if pages or len(held) >= _ROWS:
-                    yield done()
-            elif digest not in pages and digest not in texts:
-                if len(pages) >= _HELD:
-                    yield done()
-                pages[digest] = html
-            held.append((key, url, digest))
+                if (host, part) != group:
+                    group, last = (host, part), None
+            if digest != last:
+                last = digest
+                held[digest] = unpacker.decompress(html).decode()
     if held:
         yield done()
 
@@ -389,9 +463,10 @@ def extract_main_text(
 ) -> DataFrame:
     """``key``, ``url`` and the main text of every page."""
     ship(pages.sparkSession)
-    rows = pages.select(
+    whole = pages.select(
         host_of(url).alias("host"), F.col(key).alias("id"), F.col(url).alias("url"), F.coalesce(html, F.lit("")).alias("html")
     ).withColumn("digest", F.md5("html"))
+    rows = written(whole.drop("html"), "page-rows")
     # hosts of more different pages than a group are dealt over several; Spark decides by its size how this list is joined
     large = written(
         rows.select("host", "digest")
@@ -402,15 +477,15 @@ def extract_main_text(
         .select("host", F.ceil(F.col("count") / group).alias("parts")),
         "large-hosts",
     )
-    dealt = rows.join(large, "host", "left").select(
-        "host", F.pmod(F.xxhash64("digest"), F.coalesce("parts", F.lit(1))).alias("part"), "digest", "id", "url", "html"
-    )
-    kind = pages.schema[key].dataType.simpleString()
-    # copies follow the page without its html
-    found = (
-        dealt.mapInArrow(_sent_once, f"host string, part bigint, digest string, id {kind}, url string, html string")
+    part = F.pmod(F.xxhash64("digest"), F.coalesce("parts", F.lit(1))).alias("part")
+    dealt = whole.join(large, "host", "left").select("host", part, "digest", "html")
+    texts = written(
+        dealt.mapInArrow(_sent_once, "host string, part bigint, digest string, html binary")
         .repartition("host", "part")
-        .sortWithinPartitions("host", "part", F.col("html").isNull(), "digest")
-        .mapInArrow(lambda batches: _extract_groups(batches, how), f"id {kind}, url string, text string")
+        .sortWithinPartitions("host", "part", "digest")
+        .mapInArrow(lambda batches: _extract_groups(batches, how), "host string, digest string, text string"),
+        "page-texts",
     )
+    # both sides are stored, so adaptive execution splits a page with very many copies
+    found = rows.join(texts, ["host", "digest"]).select("id", "url", "text")
     return found.withColumnsRenamed({"id": key, "url": url})
