@@ -99,11 +99,12 @@ def paired_answers(conversations: DataFrame, learned: str = "assistant") -> Data
     The chosen side is a conversation up to its last answer; in the rejected one that answer is
     the last answer of its neighbour (conv_id 2k and 2k + 1 are neighbours). Without an answer in
     the neighbour, or in the conversation, the rejected side has no turns. Turns go by turn,
-    then role, then text, nulls first. Neighbours meet in one shuffle on half the conv_id, so a
+    then role, then text, nulls first. Turns without a conv_id are of no conversation. Neighbours meet in one shuffle on half the conv_id, so a
     common first turn or repeated conversation gathers nowhere.
     """
     turn = F.struct("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    both = conversations.groupBy(F.shiftright("conv_id", 1).alias("pair")).agg(
+    named = conversations.where(F.col("conv_id").isNotNull())
+    both = named.groupBy(F.shiftright("conv_id", 1).alias("pair")).agg(
         F.sort_array(F.collect_list(turn)).alias("turns"), F.array_sort(F.collect_set("conv_id")).alias("ids")
     )
     each = both.select("turns", F.explode_outer("ids").alias("conv_id"))

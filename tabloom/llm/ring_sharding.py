@@ -36,8 +36,9 @@ def _place(*of: Column) -> Column:
 
 def ring(spark: SparkSession, shards: int, replicas: int) -> list[tuple[int, int]]:
     """(place, shard) of each virtual node, clockwise. Adding a shard adds nodes and moves none."""
-    nodes = spark.range(shards).crossJoin(spark.range(replicas).withColumnRenamed("id", "replica"))
-    return sorted(tuple(r) for r in nodes.select(_place(F.lit("node"), "id", "replica"), F.col("id")).collect())
+    shard = F.floor(F.col("id") / replicas).alias("shard")
+    nodes = spark.range(shards * replicas).select(shard, (F.col("id") % replicas).alias("replica"))
+    return sorted(tuple(r) for r in nodes.select(_place(F.lit("node"), "shard", "replica"), "shard").collect())
 
 
 def fill(counts: list[int], owners: list[int], capacity: list[int]) -> list[list[tuple[int, int]]]:

@@ -59,6 +59,7 @@ def test_a_second_batch_meets_the_first(spark):
 
 def test_the_anti_join_reads_the_buckets_without_a_shuffle(spark, settings):
     own = index(spark, "digest_plan")
+    own.make(1, "bigint")
     own.append(spark.sql("select unhex('00') digest, 1L keep_id, 'x' batch"))
     with settings(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1"):
         new = spark.range(5).selectExpr("unhex(hex(id)) digest").repartition(own.buckets, "digest")
@@ -73,3 +74,42 @@ def test_copies_are_reduced_before_the_shuffle(spark):
     got = d.deduplicate(many, d.temporary_index(spark))
     assert got.where("group_size = 1000 and keep_id = 2997").count() == 1000
     assert got.where("kept").count() == 2001
+
+
+def test_keys_of_other_kinds(spark):
+    rows = [("b", "Same"), ("é", "same"), ("a", "SAME"), (None, "same"), ("x", "other"), (None, "alone")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    own = d.temporary_index(spark)
+    got = d.deduplicate(df, own).collect()
+    assert own.table().schema["keep_id"].dataType.simpleString() == "string"
+    own.forget()
+    assert sorted((r.doc_id or "", r.keep_id, r.group_size, r.kept) for r in got if r.keep_id) == [
+        ("", "é", 4, False), ("a", "é", 4, False), ("b", "é", 4, False), ("x", "x", 1, True), ("é", "é", 4, True)
+    ]
+    assert [(r.keep_id, r.kept) for r in got if not r.keep_id] == [(None, True)]
+    assert sorted(r.text for r in d.distinct_documents(df).collect()) == ["alone", "other", "same"]
+    dates = df.selectExpr("date'2020-01-01' + length(doc_id) as doc_id", "text")
+    assert d.distinct_documents(dates).count() == 3
+
+
+def test_buckets_follow_the_first_batch_and_stay(spark, monkeypatch):
+    monkeypatch.setattr(d, "_BUCKET_ROWS", 10)
+    monkeypatch.setattr(d, "_FEWEST", 2)
+    path = new_folder(spark, "digest-width")
+    own = d.DigestIndex(spark, "digest_width", path)
+    d.deduplicate(spark.range(95).selectExpr("id doc_id", "string(id) text"), own).count()
+    assert own.buckets == 10
+    again = d.DigestIndex(spark, "digest_width", path)
+    assert again.buckets == 10
+    found = d.deduplicate(spark.range(500).selectExpr("id + 1 doc_id", "string(id) text"), again)
+    assert found.where("kept").count() == 405 and again.buckets == 10
+    again.forget()
+
+
+def test_a_hot_text_is_split(spark, settings):
+    """Half of all rows alike in key and text: the join that picks what stays is dealt by row."""
+    rows = spark.range(20_000).selectExpr("if(id % 2 = 0, null, id) doc_id", "if(id % 2 = 0, 'same', concat('t', id)) text")
+    got = d.distinct_documents(rows.repartition(4))
+    assert got.count() == 10_001
+    last = got._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in last and "Window" not in last
