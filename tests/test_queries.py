@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry_point
@@ -33,3 +37,12 @@ def test_entry(spark):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+
+
+def test_the_entry_goes_on_without_libraries_of_its_own():
+    """What only the training-data operators need may be missing."""
+    code = (
+        "import sys, warnings; sys.modules['tiktoken'] = None; warnings.simplefilter('ignore'); import __spark_entry__ as e;"
+        "from tabloom.queries import QUERIES; assert set(e.queries()) == set(QUERIES) and set(e.oracle_sql()) == set(QUERIES)"
+    )
+    subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parent.parent, check=True)
