@@ -49,10 +49,10 @@ def removed(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def written(df: DataFrame, purpose: str, under: str | None = None) -> DataFrame:
+def written(df: DataFrame, purpose: str, under: str | None = None, compression: str | None = None) -> DataFrame:
     """The rows as a table of their own, in the folder ``under`` if one is given."""
     path = f"{under}/{purpose}-{uuid.uuid4().hex}" if under else new_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

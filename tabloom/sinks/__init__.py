@@ -3,6 +3,17 @@
 from tabloom.sinks.cells import write_cells
 from tabloom.sinks.jdbc import write_jdbc
 from tabloom.sinks.orc import register_orc_table, write_orc
+from tabloom.sinks.publish import clean, publish_orc, published, read_published
 from tabloom.sinks.width import output_width
 
-__all__ = ["output_width", "register_orc_table", "write_cells", "write_jdbc", "write_orc"]
+__all__ = [
+    "clean",
+    "output_width",
+    "publish_orc",
+    "published",
+    "read_published",
+    "register_orc_table",
+    "write_cells",
+    "write_jdbc",
+    "write_orc",
+]
