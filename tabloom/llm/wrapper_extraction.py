@@ -403,46 +403,51 @@ def _extract(pages: list[str], how: Induction) -> list[str]:
 
 
 def _sent_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages, compressed, without those that this task has sent before, as far as it remembers."""
-    seen: set[tuple[str, str]] = set()
+    """Rows with their page compressed; of a page sent before, as far as this task remembers, one more without it."""
+    seen: dict[tuple[str, str], bool] = {}  # and whether it was told that there are copies
     packer = zstandard.ZstdCompressor()
     for batch in batches:
-        new = []
-        for at, page in enumerate(zip(batch["host"].to_pylist(), batch["digest"].to_pylist(), strict=True)):
+        sent, packed = [], []
+        pages = zip(*(batch[c].to_pylist() for c in ("host", "digest", "html")), strict=True)
+        for at, (host, digest, html) in enumerate(pages):
             if len(seen) >= _SEEN:
                 seen.clear()
-            if page not in seen:
-                seen.add(page)
-                new.append(at)
-        if new:
-            kept = batch.take(pa.array(new))
-            packed = pa.array([packer.compress(html.encode()) for html in kept["html"].to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*kept.columns[:-1], packed], batch.schema.names)
+            told = seen.get((host, digest))
+            if not told:
+                seen[host, digest] = told is not None
+                sent.append(at)
+                packed.append(packer.compress(html.encode()) if told is None else None)
+        if sent:
+            columns = batch.take(pa.array(sent)).columns
+            yield pa.RecordBatch.from_arrays([*columns[:-1], pa.array(packed, pa.binary())], batch.schema.names)
 
 
 def _extract_groups(batches: Iterator[pa.RecordBatch], how: Induction) -> Iterator[pa.RecordBatch]:
-    """(host, digest, text) of pages sorted by group and digest; pages of a group are held together, copies once."""
+    """(host, digest, id, url, text, copied) of each page once, out of rows sorted by group and digest, those
+    with the page first. The pages of a group are held together, and rows of a page are few for each task that sent them.
+    """
     group: tuple | None = None
-    held: dict[str, str] = {}  # digest to html
-    last = None
+    held: dict[str, list] = {}  # digest: html, id, url, whether there are more rows
 
     def done() -> pa.RecordBatch:
-        digests, texts = list(held), _extract(list(held.values()), how)
+        html, ids, urls, copied = zip(*held.values(), strict=True)
+        values = [[group[0]] * len(held), list(held), ids, urls, _extract(list(html), how), copied]
         held.clear()
-        columns = [pa.array([group[0]] * len(digests)), pa.array(digests), pa.array(texts, pa.string())]
-        return pa.RecordBatch.from_arrays(columns, ["host", "digest", "text"])
+        kinds = [pa.string(), pa.string(), kind, pa.string(), pa.string(), pa.bool_()]
+        columns = [pa.array(v, k) for v, k in zip(values, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, ["host", "digest", "id", "url", "text", "copied"])
 
     unpacker = zstandard.ZstdDecompressor()
     for batch in batches:
-        for host, part, digest, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if (host, part) != group or len(held) >= _HELD:
-                if held:
-                    yield done()
-                if (host, part) != group:
-                    group, last = (host, part), None
-            if digest != last:
-                last = digest
-                held[digest] = unpacker.decompress(html).decode()
+        kind = batch["id"].type
+        for host, part, digest, key, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (host, part) == group and digest in held:
+                held[digest][3] = True
+                continue
+            if held and ((host, part) != group or len(held) >= _HELD):
+                yield done()
+            group = (host, part)
+            held[digest] = [unpacker.decompress(html).decode(), key, url, False]
     if held:
         yield done()
 
@@ -478,14 +483,22 @@ def extract_main_text(
         "large-hosts",
     )
     part = F.pmod(F.xxhash64("digest"), F.coalesce("parts", F.lit(1))).alias("part")
-    dealt = whole.join(large, "host", "left").select("host", part, "digest", "html")
+    dealt = whole.join(large, "host", "left").select("host", part, "digest", "id", "url", "html")
+    kind = pages.schema[key].dataType.simpleString()
+    row = f"host string, part bigint, digest string, id {kind}, url string"
     texts = written(
-        dealt.mapInArrow(_sent_once, "host string, part bigint, digest string, html binary")
+        dealt.mapInArrow(_sent_once, f"{row}, html binary")
         .repartition("host", "part")
-        .sortWithinPartitions("host", "part", "digest")
-        .mapInArrow(lambda batches: _extract_groups(batches, how), "host string, digest string, text string"),
+        .sortWithinPartitions("host", "part", "digest", F.col("html").isNull())
+        .mapInArrow(
+            lambda batches: _extract_groups(batches, how),
+            f"host string, digest string, id {kind}, url string, text string, copied boolean",
+        ),
         "page-texts",
+        compression="zstd",
     )
     # both sides are stored, so adaptive execution splits a page with very many copies
-    found = rows.join(texts, ["host", "digest"]).select("id", "url", "text")
+    copied = texts.where("copied").select("host", "digest", "text")
+    copies = rows.join(copied, ["host", "digest"]).select("id", "url", "text")
+    found = texts.where("not copied").select("id", "url", "text").unionByName(copies)
     return found.withColumnsRenamed({"id": key, "url": url})

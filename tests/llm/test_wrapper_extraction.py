@@ -150,16 +150,23 @@ def test_a_host_swamped_by_copies_is_induced(spark):
 
 
 def test_copies_are_sent_and_read_once(monkeypatch):
-    monkeypatch.setattr(w, "_SEEN", 20)
-    names = ["host", "part", "digest", "html"]
-    rows = [("h", k % 9 % 2, str(k % 9), f"<p>{k % 9}") for k in range(90)] + [("i", 0, "x", "<p>x")]
-    kinds = pa.schema(zip(names, [pa.string(), pa.int64(), pa.string(), pa.string()]))
-    sent = list(w._sent_once([pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], kinds)]))
-    assert sent[0].num_rows < 90
-    order = sorted(sent[0].to_pylist() * 2, key=lambda r: (r["host"], r["part"], r["digest"]))
+    """A task sends a page once, and one more row to say that there are copies."""
+    monkeypatch.setattr(w, "_HELD", 4)
+    names = ["host", "part", "digest", "id", "url", "html"]
+    rows = [("h", k % 9 % 2, str(k % 9), k, None, f"<p>{k % 9}") for k in range(90)]
+    rows += [("h", 0, "z", 90, "u", "<p>z"), ("i", 0, "x", 91, "u", "<p>x")]
+    kinds = pa.schema(zip(names, [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string()]))
+    batch = pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], kinds)
+    sent = list(w._sent_once([batch]))
+    assert sent[0].num_rows == 9 * 2 + 2 and sent[0]["html"].null_count == 9
+    order = sorted(sent[0].to_pylist() * 2, key=lambda r: (r["host"], r["part"], r["digest"], r["html"] is None))
     out = list(w._extract_groups([pa.RecordBatch.from_pylist(order, sent[0].schema)], w.Induction()))
-    found = [(r["host"], r["digest"], r["text"]) for b in out for r in b.to_pylist()]
-    assert sorted(found) == [("h", str(k), str(k)) for k in range(9)] + [("i", "x", "x")]
+    found = {(r["host"], r["digest"]): (r["text"], r["copied"]) for b in out for r in b.to_pylist()}
+    assert found == {("h", str(k)): (str(k), True) for k in range(9)} | {("h", "z"): ("z", True), ("i", "x"): ("x", True)}
+    once = [r for r in sorted(sent[0].to_pylist(), key=lambda r: (r["host"], r["part"], r["digest"], r["html"] is None))]
+    out = list(w._extract_groups([pa.RecordBatch.from_pylist(once, sent[0].schema)], w.Induction()))
+    rows = [r for b in out for r in b.to_pylist()]
+    assert len(rows) == 11 and {r["digest"] for r in rows if not r["copied"]} == {"z", "x"}
 
 
 def test_empty_pages_on_a_third_of_all_rows(spark):
