@@ -10,7 +10,7 @@ from tabloom.operators import cells_to_wide, stage, wide_to_cells
 from tabloom.plans import Flow, generated_select
 from tabloom.queries.registry import query, table
 from tabloom.session import settings
-from tabloom.sinks import register_orc_table, write_cells, write_orc
+from tabloom.sinks import publish_orc, read_published, register_orc_table, write_cells, write_orc
 from tabloom.sources import read_partition
 
 _ORDER_SCHEMA = [
@@ -357,3 +357,41 @@ def register_table(spark, sf):
     orders = register_orc_table(spark, "tabloom_orders_by_month", path, _ORDER_SCHEMA, ["year", "month"])
     cents = F.sum(F.round(F.col("totalprice") * 100).cast("bigint"))
     return orders.groupBy("year").agg(F.count(F.lit(1)).alias("orders"), (cents / F.lit(100.0)).alias("total"))
+
+
+@query(
+    "sink_publish_rerun",
+    """select cast(count(*) as bigint) as copies, l as id, k as kind from (
+           select c_custkey as l, 'customer' as k from customer union all select s_suppkey, 'supplier' from supplier) t
+       group by l, k""",
+)
+def publish_rerun(spark, sf):
+    """A job that saves two results to one dataset, run twice: each row is there once."""
+    path = new_folder(spark, "published")
+    schema = ["id;long", "kind;string"]
+    for _ in range(2):
+        flow = (
+            Flow(spark)
+            .source("customer_input", table(spark, sf, "customer"))
+            .source("supplier_input", table(spark, sf, "supplier"))
+            .result("select c_custkey, 'customer' from customer_input")
+            .result("select s_suppkey, 'supplier' from supplier_input")
+        )
+        writers = iter(("customers", "suppliers"))
+        flow.save(lambda df, names=writers: publish_orc(df, path, schema, ["kind"], writer=next(names)))
+    return read_published(spark, path).groupBy("id", "kind").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query(
+    "sink_publish_partitions",
+    """select o_orderkey as orderkey, year(o_orderdate) as year,
+              case when year(o_orderdate) = 1995 then 0.0 else o_totalprice end as totalprice from orders""",
+)
+def publish_partitions(spark, sf):
+    """Orders by year, of which one year is written again; the others stay as they are."""
+    path = new_folder(spark, "published")
+    schema = ["orderkey;long", "totalprice;double", "year;int"]
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    publish_orc(orders, path, schema, ["year"], gather=True)
+    publish_orc(orders.where("year = 1995").withColumn("o_totalprice", F.lit(0.0)), path, schema, ["year"])
+    return read_published(spark, path)
