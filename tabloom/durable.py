@@ -8,12 +8,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
+#: The folder of the workspace the caller is in, if any.
+_WORKSPACE: ContextVar[str | None] = ContextVar("workspace", default=None)
+
 
 @cache
 def _local_folder() -> str:
@@ -39,8 +45,28 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A path nobody has used yet, in the shared folder."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A path nobody has used yet, in the workspace the caller is in or else in the shared folder."""
+    return f"{_WORKSPACE.get() or shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[str]:
+    """A folder for all that is stored in the block, deleted at its end.
+
+    What operators return reads the tables they stored, so results are to be written or collected within the block::
+
+        with workspace(spark):
+            near_duplicates(documents).write.parquet(path)
+
+    Workspaces may be nested; what is stored in the inner one goes with it.
+    """
+    path = new_folder(spark, "workspace")
+    token = _WORKSPACE.set(path)
+    try:
+        yield path
+    finally:
+        _WORKSPACE.reset(token)
+        removed(spark, path)
 
 
 def removed(spark: SparkSession, path: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from functools import reduce
 from typing import NamedTuple
 
@@ -81,8 +82,9 @@ def join_lookup(scope: Scope, key: Column, side: DataFrame, size: Size, limits:
 
 
 def at_once(work: Callable[[int], object], n: int) -> list:
-    """The results of independent Spark jobs, run at the same time."""
+    """The results of independent Spark jobs, run at the same time, in the workspace the caller is in."""
     if n == 1:
         return [work(0)]
+    contexts = [copy_context() for _ in range(n)]
     with ThreadPoolExecutor(n) as pool:
-        return list(pool.map(work, range(n)))
+        return list(pool.map(lambda i: contexts[i].run(work, i), range(n)))
