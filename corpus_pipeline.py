@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabloom.durable import written
+from tabloom.durable import new_folder, removed, workspace, written
 from tabloom.llm import digest_index, divergence_rules, personal_data, simhash
 from tabloom.llm.queries import packed
 
@@ -49,8 +49,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, each over all that the one before it kept."""
+    """All stages in order, each over all that the one before it kept.
+
+    What a stage stores for itself goes when its rows are written, and these go when the next stage's are. The last
+    stage's own tables, and the rows it has read, stay for the result to be read from: run it in a ``workspace``, and
+    they go at its end.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        folder = new_folder(spark, "pipeline")
+        with workspace(spark):
+            docs = written(stage(spark, docs, sf_dir), name, folder)
+        if before:
+            removed(spark, before)
+        before = folder
     return STAGES[-1][1](spark, docs, sf_dir)

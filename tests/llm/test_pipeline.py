@@ -1,3 +1,4 @@
+import os
 import re
 
 import pytest
@@ -8,6 +9,7 @@ from llm.test_divergence_rules import base
 from llm.test_packing import PATH, library, pieces_of  # noqa: F401
 from llm.test_personal_data import of_base
 from llm.test_simhash import brute
+from tabloom.durable import shared_folder, workspace
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -80,6 +82,21 @@ def test_odd_documents_pass_through(spark, odd):
     assert docs.count() > 0
 
 
+def test_run_leaves_what_its_result_is_read_from(spark, steps):
+    """The rows of the stages' run by hand; of tables the last stage's alone, and in a workspace none."""
+    folder = shared_folder(spark)
+    before = set(os.listdir(folder))
+    got = pipeline.run(spark, SF_DIR)
+    columns = [c for c in got.columns if c not in ("sequence_id", "offset")]
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, steps[5].select(columns).collect()))
+    left = {name.split("-")[0] for name in set(os.listdir(folder)) - before}
+    assert left <= {"pieces", "numbered", "pipeline"}
+    before = set(os.listdir(folder))
+    with workspace(spark):
+        assert pipeline.run(spark, SF_DIR).count() > 0
+    assert set(os.listdir(folder)) == before
+
+
 def test_very_long_numbers_pass_through(spark):
     text = " ".join(f"word{i} {'0' * 10_000}{i}.1.1.1" for i in range(20)) + f" {'0' * 1_000_000}1.2.3.4 " + "end " * 3
     docs = spark.createDataFrame([(1, text, "en", "s", len(text))], "doc_id bigint, text string, lang string, source string, n_chars bigint")
