@@ -52,6 +52,18 @@ class Block:
         return (self.tag, self.names)
 
 
+def packed(block: Block) -> list:
+    """A tree as plain lists, to be sent."""
+    return [block.tag, block.names, block.text, block.linked, [packed(k) for k in block.kids]]
+
+
+def unpacked(lists: list) -> Block:
+    tag, names, text, linked, kids = lists
+    block = Block(tag, names, text, linked)
+    block.kids = [unpacked(k) for k in kids]
+    return block
+
+
 def _names(attributes: str) -> str:
     """Class, id and role, in lower case."""
     if "=" not in attributes:

@@ -24,6 +24,7 @@ than key, url and html play no part.
 
 from __future__ import annotations
 
+import json
 import re
 from bisect import bisect_left
 from collections import defaultdict
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tabloom.durable import written
 from tabloom.llm.common import ship
-from tabloom.llm.html_tree import RAW, Block, parse
+from tabloom.llm.html_tree import RAW, Block, packed, parse, unpacked
 
 # Elements without text of a page, elements that are mostly no content, and words of classes, ids and
 # roles that mark what is no content or say nothing about it.
@@ -134,9 +135,9 @@ def _mark(tag: str, names: str) -> int:
     return found
 
 
-def read_page(html: str) -> Slot:
+def read_page(tree: Block) -> Slot:
     """The slots of a page. Names are evidence and no verdict: what holds the story stays whatever it is called."""
-    page = Slot(parse(html))
+    page = Slot(tree)
     while (wrapper := _wrapper(page)) is not None:
         wrapper.mark = _STAYS
     return page
@@ -397,17 +398,22 @@ def main_text(page: Slot, template: set[int]) -> str:
 
 
 def _extract(pages: list[str], how: Induction) -> list[str]:
-    trees = [read_page(html) for html in pages]
+    return _extract_trees([parse(html) for html in pages], how)
+
+
+def _extract_trees(pages: list[Block], how: Induction) -> list[str]:
+    trees = [read_page(page) for page in pages]
     template = template_slots(trees, how) if len(trees) >= how.witnesses else [set()] * len(trees)
     return [main_text(tree, found) for tree, found in zip(trees, template, strict=True)]
 
 
 def _sent_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with their page compressed; of a page sent before, as far as this task remembers, one more without it."""
+    """Rows with their page's tree, compressed; of a page sent before, as far as this task knows, one more without it."""
     seen: dict[tuple[str, str], bool] = {}  # and whether it was told that there are copies
-    packer = zstandard.ZstdCompressor()
+    packer = zstandard.ZstdCompressor(level=9)
+    tree = lambda html: json.dumps(packed(parse(html)), ensure_ascii=False, separators=(",", ":"))
     for batch in batches:
-        sent, packed = [], []
+        sent, trees = [], []
         pages = zip(*(batch[c].to_pylist() for c in ("host", "digest", "html")), strict=True)
         for at, (host, digest, html) in enumerate(pages):
             if len(seen) >= _SEEN:
@@ -416,10 +422,10 @@ def _sent_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not told:
                 seen[host, digest] = told is not None
                 sent.append(at)
-                packed.append(packer.compress(html.encode()) if told is None else None)
+                trees.append(packer.compress(tree(html).encode()) if told is None else None)
         if sent:
             columns = batch.take(pa.array(sent)).columns
-            yield pa.RecordBatch.from_arrays([*columns[:-1], pa.array(packed, pa.binary())], batch.schema.names)
+            yield pa.RecordBatch.from_arrays([*columns[:-1], pa.array(trees, pa.binary())], [*batch.schema.names[:-1], "tree"])
 
 
 def _extract_groups(batches: Iterator[pa.RecordBatch], how: Induction) -> Iterator[pa.RecordBatch]:
@@ -427,11 +433,11 @@ def _extract_groups(batches: Iterator[pa.RecordBatch], how: Induction) -> Iterat
     with the page first. The pages of a group are held together, and rows of a page are few for each task that sent them.
     """
     group: tuple | None = None
-    held: dict[str, list] = {}  # digest: html, id, url, whether there are more rows
+    held: dict[str, list] = {}  # digest: tree, id, url, whether there are more rows
 
     def done() -> pa.RecordBatch:
-        html, ids, urls, copied = zip(*held.values(), strict=True)
-        values = [[group[0]] * len(held), list(held), ids, urls, _extract(list(html), how), copied]
+        trees, ids, urls, copied = zip(*held.values(), strict=True)
+        values = [[group[0]] * len(held), list(held), ids, urls, _extract_trees(list(trees), how), copied]
         held.clear()
         kinds = [pa.string(), pa.string(), kind, pa.string(), pa.string(), pa.bool_()]
         columns = [pa.array(v, k) for v, k in zip(values, kinds, strict=True)]
@@ -440,14 +446,14 @@ def _extract_groups(batches: Iterator[pa.RecordBatch], how: Induction) -> Iterat
     unpacker = zstandard.ZstdDecompressor()
     for batch in batches:
         kind = batch["id"].type
-        for host, part, digest, key, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for host, part, digest, key, url, tree in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if (host, part) == group and digest in held:
                 held[digest][3] = True
                 continue
             if held and ((host, part) != group or len(held) >= _HELD):
                 yield done()
             group = (host, part)
-            held[digest] = [unpacker.decompress(html).decode(), key, url, False]
+            held[digest] = [unpacked(json.loads(unpacker.decompress(tree))), key, url, False]
     if held:
         yield done()
 
@@ -487,9 +493,9 @@ def extract_main_text(
     kind = pages.schema[key].dataType.simpleString()
     row = f"host string, part bigint, digest string, id {kind}, url string"
     texts = written(
-        dealt.mapInArrow(_sent_once, f"{row}, html binary")
+        dealt.mapInArrow(_sent_once, f"{row}, tree binary")
         .repartition("host", "part")
-        .sortWithinPartitions("host", "part", "digest", F.col("html").isNull())
+        .sortWithinPartitions("host", "part", "digest", F.col("tree").isNull())
         .mapInArrow(
             lambda batches: _extract_groups(batches, how),
             f"host string, digest string, id {kind}, url string, text string, copied boolean",
