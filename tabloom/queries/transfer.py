@@ -3,10 +3,13 @@
 Round trips write below the session's shared folder, each run to a path of its own.
 """
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tabloom.durable import new_folder
 from tabloom.operators import cells_to_wide, stage, wide_to_cells
+from tabloom.operators.cell_table import CellTable
 from tabloom.plans import Flow, generated_select
 from tabloom.queries.registry import query, table
 from tabloom.session import settings
@@ -395,3 +398,27 @@ def publish_partitions(spark, sf):
     publish_orc(orders, path, schema, ["year"], gather=True)
     publish_orc(orders.where("year = 1995").withColumn("o_totalprice", F.lit(0.0)), path, schema, ["year"])
     return read_published(spark, path)
+
+
+@query(
+    "cells_three_writes",
+    """select c_name as rowkey, cast(c_custkey as varchar) as "d:id", case when c_custkey % 3 = 0 then null
+              else cast(c_nationkey as varchar) end as "d:nation",
+              case when c_custkey % 2 = 0 then 'MOVED' else c_mktsegment end as "d:segment" from customer""",
+)
+def cells_three_writes(spark, sf):
+    """A cell table that is written three times, cells anew each time, and read as wide rows without a shuffle."""
+    kept = CellTable(spark, f"cells_{uuid.uuid4().hex}", new_folder(spark, "cell-table"), buckets=8)
+    customers = table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("id"),
+        F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("segment"),
+        F.col("c_nationkey").cast("string").alias("nation"),
+    )
+    as_cells = lambda df, columns: wide_to_cells(df.select(*columns), [f"{c};string" for c in columns], "name", "d")
+    kept.write(as_cells(customers, ["id", "name", "segment"]))
+    kept.write(as_cells(customers.where("id % 2 = 0").withColumn("segment", F.lit("MOVED")), ["name", "segment"]))
+    kept.write(as_cells(customers.where("id % 3 <> 0"), ["name", "nation"]))
+    found = kept.wide(["d:id", "d:nation", "d:segment"])
+    kept.forget()
+    return found

@@ -1,0 +1,100 @@
+"""A cell table written several times, against one write of what counts."""
+
+import os
+import uuid
+
+import pytest
+from conftest import executed_plan
+from pyspark.sql import functions as F
+
+from tabloom.operators import cells_to_wide
+from tabloom.operators.cell_table import CellTable
+
+NAMES = ["d:a", "d:b", "e:a"]
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    made = CellTable(spark, f"cells_{uuid.uuid4().hex}", f"file://{tmp_path}/cells", buckets=4)
+    yield made
+    made.forget()
+
+
+def cells(spark, *rows):
+    return spark.createDataFrame(list(rows), "rowkey string, family string, qualifier string, value string").repartition(3)
+
+
+FIRST = [("r1", "d", "a", "1"), ("r1", "d", "b", "2"), ("r2", "e", "a", "3"), (None, "d", "a", "n"), ("r9", "x", "y", "z")]
+SECOND = [("r1", "d", "a", "10"), ("r3", "d", "b", "4"), ("r3", "d", "b", "5"), ("r2", "e", "a", None)]
+THIRD = [("r1", "d", "a", "09"), ("r4", "e", "a", "6"), (None, "d", "a", "m")]
+
+
+def three_writes(spark, table):
+    return [table.write(cells(spark, *rows)) for rows in (FIRST, SECOND, THIRD)]
+
+
+def one_write(spark):
+    rows = {}
+    for run in (FIRST, sorted(SECOND, key=lambda r: (r[3] is not None, r[3])), THIRD):
+        rows |= {r[:3]: r for r in run}
+    return cells_to_wide(cells(spark, *rows.values()), NAMES)
+
+
+def same(got, wanted):
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, wanted.collect())))
+
+
+def test_three_writes_are_read_as_one_without_a_shuffle(spark, table, settings):
+    versions = three_writes(spark, table)
+    assert versions == sorted(set(versions))
+    same(table.wide(NAMES), one_write(spark))
+    plan = executed_plan(table.wide(NAMES))
+    assert "Exchange" not in plan
+    assert "Exchange" not in executed_plan(table.current())
+
+
+def test_writes_within_a_millisecond_are_told_apart(spark, table, monkeypatch):
+    monkeypatch.setattr("tabloom.operators.cell_table.time.time", lambda: 1.0)
+    table.write(cells(spark, ("r", "d", "a", "z")))
+    table.write(cells(spark, ("r", "d", "a", "a")))
+    assert [r["d:a"] for r in table.wide(["d:a"]).collect()] == ["a"]
+
+
+def test_compaction(spark, table):
+    three_writes(spark, table)
+    before = table.cells()
+    wanted = table.wide(NAMES).collect()
+    table.compact()
+    assert table.cells().count() == 7 and table.cells().groupBy("rowkey", "family", "qualifier").count().where("count > 1").count() == 0
+    assert sorted(map(str, table.wide(NAMES).collect())) == sorted(map(str, wanted))
+    assert "Exchange" not in executed_plan(table.wide(NAMES))
+    assert before.count() == 11  # a reader under way
+    table.clean()
+    assert len(os.listdir(table.path.removeprefix("file://"))) == 1
+    later = table.write(cells(spark, ("r1", "d", "a", "last")))
+    assert table.wide(["d:a"]).where("rowkey = 'r1'").first()["d:a"] == "last" and later
+
+
+def test_a_stopped_compaction_changes_nothing(spark, table, monkeypatch):
+    three_writes(spark, table)
+    broken = lambda self: self.cells().withColumn("value", F.raise_error(F.lit("stopped")))
+    with monkeypatch.context() as m:
+        m.setattr(CellTable, "current", broken)
+        with pytest.raises(Exception, match="stopped"):
+            table.compact()
+    same(table.wide(NAMES), one_write(spark))
+    table.compact()
+    same(table.wide(NAMES), one_write(spark))
+
+
+def test_a_table_that_is_there_is_found_again(spark, table):
+    table.write(cells(spark, *FIRST))
+    again = CellTable(spark, table.name, table.path, buckets=99)
+    assert again.buckets == 4
+    again.write(cells(spark, *SECOND))
+    assert spark.table(table.name).count() == len(FIRST) + len(SECOND) - 1
+    empty = CellTable(spark, f"cells_{uuid.uuid4().hex}", f"{table.path}-none", buckets=2)
+    assert empty.wide(NAMES).count() == 0
+    empty.compact()
+    assert empty.wide(NAMES).count() == 0
+    empty.forget()
