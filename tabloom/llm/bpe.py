@@ -30,6 +30,18 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
 
 
+def _check_merges(model: dict, special: dict[str, int], path: str) -> None:
+    """Refuse a file whose ids are not the order of its merges: the merge loop here goes by ids alone.
+
+    Every token but the single bytes must be made by one merge, and later merges must make larger ids.
+    """
+    pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
+    made = [model["vocab"].get("".join(pair), -1) for pair in pairs]
+    rising = all(a < b for a, b in zip(made, made[1:]))
+    if not rising or -1 in made[:1] or len(made) + len(_byte_of()) != len(model["vocab"].keys() - special.keys()):
+        raise ValueError(f"the ids of {path} do not follow its merges")
+
+
 class ByteBpe:
     """Encodes as the file's own library does with default settings, special tokens in a text included."""
 
@@ -45,6 +57,7 @@ class ByteBpe:
             for token, number in spec["model"]["vocab"].items()
             if token not in special
         }
+        _check_merges(spec["model"], special, path)
         self.core = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
         self.special = re.compile(f"({'|'.join(map(re.escape, special))})" if special else "(?!)")
 

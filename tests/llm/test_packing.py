@@ -1,3 +1,4 @@
+import json
 import random
 import re
 import struct
@@ -179,3 +180,45 @@ def test_a_document_of_white_space_is_packed(spark, library):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = [(r.doc_id, r.piece, r.start, r.length, zlib.crc32(r.ids)) for r in p.pack(p.token_pieces(df, PATH)).collect()]
     assert sorted(got) == sorted(x for key, text in rows for x in pieces_of(library, key, text))
+
+
+def changed_file(tmp_path, change):
+    spec = json.load(open(PATH, encoding="utf-8"))
+    change(spec)
+    path = tmp_path / "tokenizer.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    return str(path)
+
+
+def swapped(spec):
+    """Two merges in the other order: other ids for the same texts."""
+    merges = spec["model"]["merges"]
+    merges[300], merges[301] = merges[301], merges[300]
+
+
+def lacking(spec):
+    spec["model"]["merges"].pop()
+
+
+def unknown(spec):
+    spec["model"]["merges"][0] = ["no such", "token"]
+
+
+@pytest.mark.parametrize("change", [swapped, lacking, unknown])
+def test_a_file_whose_ids_do_not_follow_its_merges_is_refused(tmp_path, change):
+    with pytest.raises(ValueError, match="merges"):
+        load(changed_file(tmp_path, change))
+
+
+def test_merge_loop_by_ids_makes_each_token_as_the_file_does():
+    """Each token's own bytes end in the two parts that the file names, by the merges before its own."""
+    spec = json.load(open(PATH, encoding="utf-8"))["model"]
+    vocabulary, merges = spec["vocab"], [m.split(" ") if isinstance(m, str) else m for m in spec["merges"]]
+    for left, right in merges[::7]:
+        limit, parts = vocabulary[left + right], list(left + right)
+        while len(parts) > 2:
+            found = [(vocabulary.get(a + b, limit), k) for k, (a, b) in enumerate(zip(parts, parts[1:]))]
+            rank, k = min(found)
+            assert rank < limit
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        assert parts == [left, right]
