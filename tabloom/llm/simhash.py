@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.durable import written
-from tabloom.llm.common import ascii_lower, let, ship, text_of, words_of
+from tabloom.llm.common import ascii_lower, fresh, let, ship, text_of, words_of
 from tabloom.llm.components import components
 
 _BYTES = 8
@@ -215,10 +215,13 @@ def one_per_group(
 ) -> DataFrame:
     """The document of each group with the smallest ``key``, all columns as they were.
 
-    Rows that share a ``key`` stay or go together; rows without one stay, as there is nothing to
-    tell them by. The join is with the keys that go, which are fewer than those that stay.
+    One row stays of each group: of rows that share the smallest ``key`` the first one as they are stored, and a row
+    without a key only where none of the group has one. Rows are numbered once, in a stored copy, and joined by
+    their number with those that go.
     """
-    found = near_duplicates(documents, radius, shingle, key, text)
-    stays = F.max(F.col(key) == F.col("component_id")).alias("stays")
-    gone = written(found.where(F.col(key).isNotNull()).groupBy(key).agg(stays).where("not stays").select(key), "gone")
-    return documents.join(gone, key, "left_anti").select(*documents.columns)
+    row, name = fresh(documents, "row", "name")
+    numbered = written(documents.withColumn(row, F.monotonically_increasing_id()), "numbered-documents")
+    order = F.struct(F.col(key).isNull().alias("unnamed"), F.col(key).alias("key"), F.col(row).alias("row"))
+    found = near_duplicates(numbered.select(order.alias(name), text), radius, shingle, name, text)
+    gone = found.where(F.col(name) != F.col("component_id")).select(F.col(name)["row"].alias(row))
+    return numbered.join(written(gone, "gone"), row, "left_anti").select(*documents.columns)

@@ -67,6 +67,24 @@ def test_one_row_stays_per_group(odd):
     assert {r.doc_id for r in kept.collect()} == groups
 
 
+def test_near_copies_without_keys_are_one(spark):
+    """Rows without a key are of their groups too; keys that repeat are told apart by their texts."""
+    long = " ".join(f"word{i}" for i in range(400))
+    rows = [(None, long), (None, long + " x"), (None, long), (7, "short text of its own"), (7, long), (9, long)]
+    rows += [(None, "nobody has this one"), (None, "nobody has this one"), (7, "short text of its own")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    prints = {r.fingerprint for r in s.fingerprints(df).collect()}
+    got = sorted((str(r.doc_id), r.text[:6]) for r in s.one_per_group(df).collect())
+    assert len(prints) == 4 and bin(s_print(s, long) ^ s_print(s, long + " x")).count("1") <= 2
+    assert got == [("7", "short "), ("7", "word0 "), ("None", "nobody")]
+
+
+def s_print(module, text):
+    words = text.split()
+    hashes = [xxhash.xxh64(" ".join(words[i : i + 3]).encode(), 42).intdigest() for i in range(len(words) - 2)]
+    return int(module.majority(np.array(hashes, np.uint64).view(np.int64)))
+
+
 @pytest.mark.parametrize("tile_rows", [3, 50, 4096])
 def test_every_link_is_found_whatever_the_tiles(spark, tile_rows):
     """Fingerprints that cluster: a chain of single bits, a ball around one point, and others far away."""
