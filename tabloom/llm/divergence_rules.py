@@ -20,7 +20,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import NOT_WORD, WHITE, let, text_of, words_of
+from tabloom.llm.common import WHITE, let, text_of, words_of
 
 # The most frequent words of each language, the most frequent first.
 COMMON_WORDS = {
@@ -30,6 +30,10 @@ COMMON_WORDS = {
     "es": "de la que el en y los se las del un por con no una su para al es lo".split(),
 }
 
+_LISTED = sorted({word for listed in COMMON_WORDS.values() for word in listed})
+#: Characters from here on stand for the words, one for each: from "!" to "~" there are 94.
+_FIRST_CODE = 33
+
 # Shares of lower-case letters, capitals, digits, punctuation and other characters in prose.
 CHARACTER_SHARES = {"lower": 0.93, "upper": 0.03, "digit": 0.01, "punctuation": 0.025, "other": 0.005}
 
@@ -109,7 +113,7 @@ def _counts(text: Column, words: Column) -> Column:
     lines = F.filter(F.split(text, "\n", -1), lambda line: F.btrim(line, F.lit(WHITE)) != "")
     whole = {
         "n_words": F.size(words),
-        "word_chars": F.length(F.regexp_replace(text, NOT_WORD, "")),
+        "word_chars": F.length(F.array_join(words, "")),
         "n_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")),
         "n_dup_lines": let(lines, lambda found: F.size(found) - F.size(F.array_distinct(found))),
         "n_repeat_words": _repeated_words(words),
@@ -118,31 +122,30 @@ def _counts(text: Column, words: Column) -> Column:
 
 
 def _listed(words: Column) -> Column:
-    """The common words of the text as " the  of  and ", in which each is counted by leaving it out."""
-    every = sorted({w for listed in COMMON_WORDS.values() for w in listed})
-    short = F.filter(words, lambda w: F.length(F.btrim(w, F.lit(_EDGES))) <= max(map(len, every)))
+    """The common words of the text, one character for each, which is counted by leaving it out."""
+    short = F.filter(words, lambda w: F.length(F.btrim(w, F.lit(_EDGES))) <= max(map(len, _LISTED)))
     bare = F.transform(short, lambda w: F.lower(F.btrim(w, F.lit(_EDGES))))
-    return F.concat(F.lit(" "), F.array_join(F.filter(bare, lambda w: w.isin(every)), "  "), F.lit(" "))
+    place = lambda w: F.find_in_set(w, F.lit(",".join(_LISTED)))
+    codes = F.transform(F.filter(bare, lambda w: w.isin(_LISTED)), lambda w: F.char(place(w) + F.lit(_FIRST_CODE - 1)))
+    return F.array_join(codes, "")
 
 
 def _distances(counts: Column) -> Column:
     size = F.greatest(counts["n_words"], F.lit(1)).cast("double")
     held = F.greatest(counts["word_chars"], F.lit(1)).cast("double")
 
-    def share(word: str) -> Column:
-        without = F.replace(counts["listed"], F.lit(f" {word} "), F.lit(""))
-        return (F.length(counts["listed"]) - F.length(without)) / F.lit(len(word) + 2) / size
-
-    def to_language(listed: list[str]) -> Column:
-        places = range(len(listed))
-        shares = F.array(*(share(w) for w in listed))
+    def share(place: int) -> Column:
+        without = F.replace(counts["listed"], F.lit(chr(_FIRST_CODE + place)), F.lit(""))
+        return (F.length(counts["listed"]) - F.length(without)) / size
 
-        def distance(p: Column) -> Column:
-            rest = F.lit(1.0) - reduce(Column.__add__, (p[r] for r in places))
-            pairs = [(p[r], zipf(r + 1)) for r in places]
-            return _js_distance([*pairs, (F.greatest(rest, F.lit(0.0)), 1 - sum(q for _, q in pairs))])
+    def to_language(listed: list[str], shares: Column) -> Column:
+        p = [shares[_LISTED.index(w)] for w in listed]
+        rest = F.lit(1.0) - reduce(Column.__add__, p)
+        pairs = [(share, zipf(r + 1)) for r, share in enumerate(p)]
+        return _js_distance([*pairs, (F.greatest(rest, F.lit(0.0)), 1 - sum(q for _, q in pairs))])
 
-        return let(shares, distance)
+    def nearest(shares: Column) -> Column:
+        return F.least(*(to_language(listed, shares) for listed in COMMON_WORDS.values()))
 
     classes = {n: counts[n] / held for n in _CLASSES}
     other = F.lit(1.0) - reduce(Column.__add__, classes.values())
@@ -150,7 +153,7 @@ def _distances(counts: Column) -> Column:
     pairs.append((F.greatest(other, F.lit(0.0)), CHARACTER_SHARES["other"]))
     return F.struct(
         _js_distance(pairs).alias("characters"),
-        F.least(*(to_language(listed) for listed in COMMON_WORDS.values())).alias("words"),
+        let(F.array(*map(share, range(len(_LISTED)))), nearest).alias("words"),
     )
 
 
