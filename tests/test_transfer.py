@@ -12,7 +12,7 @@ from tabloom import functions as fn
 from tabloom.durable import new_folder, shared_folder
 from tabloom.operators import Dimension, RangeDimension, dimension, in_range
 from tabloom.plans import Flow, generated_select
-from tabloom.sinks import output_width, register_orc_table, write_jdbc, write_orc
+from tabloom.sinks import add_partitions, output_width, register_orc_table, write_jdbc, write_orc
 from tabloom.sources import empty_table, has_data, read_dimensions, read_partition, read_query
 
 SCHEMA = ["id;long", "name;string", "year;int", "month;int"]
@@ -129,6 +129,27 @@ def test_register_table(spark, dataset):
         register_orc_table(spark, "x", dataset, SCHEMA, ["day"])
 
 
+def test_partitions_just_written_are_added_without_a_listing(spark, tmp_path):
+    path, name = f"{tmp_path}/days", f"t_{uuid.uuid4().hex}"
+    schema = ["id;long", "day;string"]
+    days = ["a", "it's", "b"]
+
+    def write(some):
+        rows = [(k, d) for k, d in enumerate(some)]
+        write_orc(spark.createDataFrame(rows, "id bigint, day string"), path, schema, ["day"], mode="append")
+
+    write(days)
+    register_orc_table(spark, name, path, schema, ["day"], find=False)
+    assert spark.table(name).count() == 0
+    add_partitions(spark, name, [{"day": d} for d in days], at_once=2)
+    assert sorted(r.day for r in spark.table(name).collect()) == sorted(days)
+    write(["c", "a"])
+    add_partitions(spark, name, [{"day": "c"}, {"day": "a"}])
+    spark.catalog.refreshTable(name)
+    assert spark.table(name).count() == 5
+    add_partitions(spark, name, [])
+
+
 class Recorder:
     """Stands in for a reader or writer and keeps what it was told; no database is started."""
 
