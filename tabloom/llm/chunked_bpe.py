@@ -3,8 +3,9 @@
 Texts are cut where a rolling hash over the last 32 bytes says so, so that a passage gives the same chunks
 wherever it stands. Hashes alone are counted first. A chunk found twice or more is encoded once
 for the whole corpus and its ids are joined to all its occurrences; everything else is encoded in
-place. A bitmap of fixed size, the only thing sent to all executors, tells which documents may
-hold a shared chunk: only those are shuffled. A bit that two hashes share costs a lookup, no more.
+place. A bitmap of eight bits or more for each shared chunk, 128 MiB at most and the only thing sent to all
+executors, tells which documents may hold one: only those are shuffled. A bit that two hashes share costs a lookup,
+no more.
 
 Chunks do not respect tokens, so joins are repaired. A chunk's ids are kept from its first to its
 last sure cut, a single space between characters that aren't white space: the pre-tokenizer
@@ -42,6 +43,8 @@ _LEAST, _MOST = 256, 8192
 _AT_ONCE = 1 << 21
 _SURE = re.compile(r"(?<=\S) (?=\S)")
 _SEEN = 100_000
+#: Bits of the map of shared chunks: 128 KiB to 128 MiB.
+_LEAST_BITS, _MOST_BITS = 1 << 20, 1 << 30
 
 
 def _gear() -> np.ndarray:
@@ -134,11 +137,17 @@ def _hashes(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(slots, pa.int64())], ["h", "s"])
 
 
-def shared_chunks(documents: DataFrame, text: str, bits: int) -> np.ndarray:
-    """A bitmap of ``bits`` bits (a power of 2, whatever the corpus) with those of the chunks found twice or more."""
-    counted = documents.select(text).mapInArrow(lambda b: _hashes(b, bits), "chunk binary, slot bigint")
-    shared = counted.groupBy("chunk", "slot").count().where("count > 1")
-    words = shared.groupBy(F.shiftright("slot", 6).alias("word")).agg(
+def shared_chunks(documents: DataFrame, text: str, bits: int | None = None) -> np.ndarray:
+    """A bitmap of ``bits`` bits, a power of 2, with those of the chunks found twice or more.
+
+    By default there are eight bits or more for each of these, up to ``_MOST_BITS``.
+    """
+    counted = documents.select(text).mapInArrow(lambda b: _hashes(b, _MOST_BITS), "chunk binary, slot bigint")
+    shared = written(counted.groupBy("chunk", "slot").count().where("count > 1").select("slot"), "shared-slots")
+    if bits is None:
+        bits = min(max(_LEAST_BITS, 1 << (8 * shared.count()).bit_length()), _MOST_BITS)
+    slot = F.col("slot").bitwiseAND(F.lit(bits - 1))
+    words = shared.groupBy(F.shiftright(slot, 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("set")
     )
     found = words.toArrow()  # bits / 64 rows at most
@@ -254,7 +263,7 @@ def encode_documents(
     finish: Finish = IDS,
     key: str = "doc_id",
     text: str = "text",
-    bits: int = 1 << 26,
+    bits: int | None = None,
 ) -> DataFrame:
     """``key`` and what ``finish`` makes of the ids of every document (by default the ids, as bytes).
 
