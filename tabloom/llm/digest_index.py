@@ -149,5 +149,5 @@ def distinct_documents(documents: DataFrame, text: str = "text", key: str = "doc
     numbered = written(documents.withColumn(row, F.monotonically_increasing_id()), "numbered-documents")
     verdicts = _verdicts(_digests(numbered, F.col(row), text, key), index)
     index.forget()
-    stays = verdicts.select(F.col("kept_row").alias(row))
+    stays = verdicts.select(F.col("kept_row").alias(row)).hint("merge")  # the same plan at every size
     return numbered.join(stays, row, "left_semi").select(*documents.columns)
