@@ -323,7 +323,7 @@ def running_max(column: Column | str) -> Across:
 
 
 def sliding(aggregate: Column, preceding: int, following: int = 0) -> Across:
-    """An aggregate, such as ``F.sum("x")``, over the rows from ``preceding`` before this one to ``following`` behind it."""
+    """An aggregate, such as ``F.sum("x")``, from ``preceding`` rows before this one to ``following`` behind it."""
     if preceding < 0 or following < 0:
         raise ValueError("a sliding frame holds its own row")
     frame = lambda w: aggregate.over(w.neighbours.rowsBetween(-preceding, following))

@@ -4,8 +4,9 @@ Every write is a run: its cells, bucketed and sorted by row key, with a version
 table is the union of its runs, and of a cell the run with the highest version counts. As all runs
 share their buckets, wide rows are read without a shuffle however many runs there are.
 
-``compact`` writes what counts as one run, to a table of its own, and then switches over in one step of the catalog: before
-it the old runs are read, after it the new one, and a compaction that is stopped changes nothing.
+``compact`` writes what counts as one run, to a table of its own, and then switches over in one step
+of the catalog: before it the old runs are read, after it the new one, and a compaction that is
+stopped changes nothing.
 
 Of cells that repeat within a write the largest value is kept, null being the least. One writer at a time.
 """

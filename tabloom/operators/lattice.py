@@ -1,8 +1,9 @@
 """Grouping sets over many dimensions, each worked out from the smallest finer one.
 
-Spark multiplies its input by the number of sets before it groups: a cube of n columns shuffles 2**n rows for each
-group of the finest set. Here the finest set is grouped once from the table, and every other set from
-the stored one with the fewest rows among those with one dimension more. The sets of a level are one job, so a cube takes n + 1 jobs.
+Spark multiplies its input by the number of sets before it groups: a cube of n columns shuffles
+2**n rows for each group of the finest set. Here the finest set is grouped once from the table, and
+every other set from the stored one with the fewest rows among those with one dimension more. The
+sets of a level are one job, so a cube takes n + 1 jobs.
 """
 
 from __future__ import annotations
@@ -99,9 +100,7 @@ def grouping_sets(
     parts = [stored[finest]] if finest in wanted else []
     for size in range(len(finest) - 1, -1, -1):
         # a set that is not wanted may still be the way to coarser ones that are
-        level = [
-            frozenset(s) for s in combinations(names, size) if frozenset(s) in wanted or any(w < frozenset(s) for w in wanted)
-        ]
+        level = [s for s in map(frozenset, combinations(names, size)) if any(w <= s for w in wanted)]
         found = []
         for s in level:
             parent = min((p for p in stored if s < p and len(p) == size + 1), key=lambda p: rows_of[p])

@@ -1,8 +1,9 @@
 """Distinct counts that can be added up: sketches stored by part, merged for any choice of parts.
 
-An exact distinct count of a year cannot be had from those of its days. A sketch can: it is stored once for
-each part of the table, in some kilobytes whatever the part's size, and the sketches of any parts merge into that of all their
-rows. A new day costs a day, and a question about any days reads their sketches alone.
+An exact distinct count of a year cannot be had from those of its days. A sketch can: it is stored
+once for each part of the table, in some kilobytes whatever the part's size, and the sketches of any
+parts merge into that of all their rows. A new day costs a day, and a question about any days reads
+their sketches alone.
 """
 
 from __future__ import annotations
@@ -28,13 +29,15 @@ def distinct_sketches(
     """A row for each group of ``by`` with a sketch, as text, of each column's distinct values; nulls are no values."""
     kinds = dict(df.dtypes)
     # the sketch knows whole numbers, texts and bytes
-    value = lambda c: F.col(c) if kinds[c] in ("int", "bigint", "string", "binary") else F.col(c).cast("string")
+    known = ("int", "bigint", "string", "binary")
+    value = lambda c: F.col(c) if kinds[c] in known else F.col(c).cast("string")
     return df.groupBy(*by).agg(*(F.base64(F.hll_sketch_agg(value(c), F.lit(precision))).alias(c) for c in columns))
 
 
 def merged(sketches: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """The sketches of coarser groups, from those of their parts."""
-    return sketches.groupBy(*by).agg(*(F.base64(F.hll_union_agg(F.unbase64(c), F.lit(False))).alias(c) for c in columns))
+    union = lambda c: F.base64(F.hll_union_agg(F.unbase64(c), F.lit(False))).alias(c)
+    return sketches.groupBy(*by).agg(*map(union, columns))
 
 
 def estimate(sketch: Column | str) -> Column:
