@@ -380,7 +380,8 @@ def across(
             chunks = f.carried(chunks, n, w)
         carried = [c for c in chunks.columns if "_in" in c and c.startswith("_across_")]
         # two rows for each of at most ``max_slabs`` slabs, or fewer
-        local = local.join(F.broadcast(chunks.select(_SLAB, _SIDE, *carried)), [_SLAB, _SIDE], "left")
+        carried_in = written(chunks.select(_SLAB, _SIDE, *carried), "across-carried", under)
+        local = local.join(F.broadcast(carried_in), [_SLAB, _SIDE], "left")
     values_ = [f.value(n).alias(name) for (n, f), name in zip(named.items(), functions, strict=True)]
     return local.select(*df.columns, *values_)
 

@@ -27,11 +27,9 @@ def numbered(df: DataFrame, keys: list[str | Column], rank: str, under: str | No
     )
     of_part = F.shiftright(place, _PLACE_BITS)
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    bases = (
-        table.groupBy(of_part.alias(part))
-        .count()
-        .select(part, F.coalesce(F.sum("count").over(before), F.lit(0)).alias(base))
-    )
+    counts = table.groupBy(of_part.alias(part)).count()
+    # one row per partition, stored: what reads the numbers does not gather it again
+    bases = written(counts.select(part, F.coalesce(F.sum("count").over(before), F.lit(0)).alias(base)), "bases", under)
     return (
         table.withColumn(part, of_part)
         .join(F.broadcast(bases), part)
