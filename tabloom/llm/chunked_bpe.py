@@ -3,7 +3,7 @@
 Texts are cut where a rolling hash over the last 32 bytes says so, so that a passage gives the same chunks
 wherever it stands. Hashes alone are counted first. A chunk found twice or more is encoded once
 for the whole corpus and its ids are joined to all its occurrences; everything else is encoded in
-place. A bitmap of eight bits or more for each shared chunk, 128 MiB at most and the only thing sent to all
+place. A bitmap of 64 bits or more for each shared chunk, 128 MiB at most and the only thing sent to all
 executors, tells which documents may hold one: only those are shuffled. A bit that two hashes share costs a lookup,
 no more.
 
@@ -43,8 +43,8 @@ _LEAST, _MOST = 256, 8192
 _AT_ONCE = 1 << 21
 _SURE = re.compile(r"(?<=\S) (?=\S)")
 _SEEN = 100_000
-#: Bits of the map of shared chunks: 128 KiB to 128 MiB.
-_LEAST_BITS, _MOST_BITS = 1 << 20, 1 << 30
+#: Bits of the map of shared chunks, 8 to 128 MiB in all, and for each of these.
+_LEAST_BITS, _MOST_BITS, _BITS_EACH = 1 << 26, 1 << 30, 64
 
 
 def _gear() -> np.ndarray:
@@ -140,12 +140,13 @@ def _hashes(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordB
 def shared_chunks(documents: DataFrame, text: str, bits: int | None = None) -> np.ndarray:
     """A bitmap of ``bits`` bits, a power of 2, with those of the chunks found twice or more.
 
-    By default there are eight bits or more for each of these, up to ``_MOST_BITS``.
+    By default there are ``_BITS_EACH`` or more for each of these, up to ``_MOST_BITS`` in all: of a hundred chunks that are
+    not shared one or two then look as if they were.
     """
     counted = documents.select(text).mapInArrow(lambda b: _hashes(b, _MOST_BITS), "chunk binary, slot bigint")
     shared = written(counted.groupBy("chunk", "slot").count().where("count > 1").select("slot"), "shared-slots")
     if bits is None:
-        bits = min(max(_LEAST_BITS, 1 << (8 * shared.count()).bit_length()), _MOST_BITS)
+        bits = min(max(_LEAST_BITS, 1 << (_BITS_EACH * shared.count()).bit_length()), _MOST_BITS)
     slot = F.col("slot").bitwiseAND(F.lit(bits - 1))
     words = shared.groupBy(F.shiftright(slot, 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("set")

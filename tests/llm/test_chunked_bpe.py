@@ -60,10 +60,10 @@ def test_any_bitmap_gives_the_same(spark, library):
 
 def test_the_bitmap_follows_the_number_of_shared_chunks(spark, monkeypatch):
     texts = spark.range(3000).selectExpr("concat('text ', id % 2500) text")
-    assert len(c.shared_chunks(texts, "text")) * 64 == 1 << 20
+    assert len(c.shared_chunks(texts, "text")) * 64 == 1 << 26
     monkeypatch.setattr(c, "_LEAST_BITS", 64)
-    assert len(bitmap := c.shared_chunks(texts, "text")) * 64 == 4096
-    assert 400 < int(np.bitwise_count(bitmap).sum()) <= 500
+    assert len(bitmap := c.shared_chunks(texts, "text")) * 64 == 1 << 15
+    assert 480 < int(np.bitwise_count(bitmap).sum()) <= 500
     monkeypatch.setattr(c, "_MOST_BITS", 1024)
     assert len(c.shared_chunks(texts, "text")) * 64 == 1024
     assert len(c.shared_chunks(texts.where("false"), "text")) * 64 == 64
