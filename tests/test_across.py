@@ -120,3 +120,13 @@ def test_no_task_gets_the_hot_key(spark):
     widest = a.across(df, ["o", "id"], {"l": a.lag("v", 3)}, ["k"], slab_rows=500)
     shuffled = executed_plan(widest)
     assert "hashpartitioning(_across_slab" in shuffled and "SinglePartition" not in shuffled.split("Window")[0]
+
+
+def test_tasks_follow_the_rows_and_not_the_session(spark, settings, tmp_path):
+    """Ranges and slabs are tasks of their own, however few partitions the session's shuffles have."""
+    df = spark.range(2_000).selectExpr("id", "if(id % 3 = 0, 'a', 'hot') as k", "id % 7 as o", "id % 100 as v")
+    with settings(spark__sql__shuffle__partitions="1"):
+        got = a.across(df, ["o", "id"], {"s": a.running_sum("v")}, ["k"], slab_rows=100, under=str(tmp_path))
+        assert got.count() == 2_000
+    for purpose in ("numbered-[0-9a-f]*", "across-slabs-*"):
+        assert len(list(tmp_path.glob(f"{purpose}/part-*"))) > 5
