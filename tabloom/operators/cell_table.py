@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.durable import removed
-from tabloom.operators.cells import cells_to_wide
+from tabloom.operators.cells import gathered_wide
 
 _CELL = ("rowkey", "family", "qualifier")
 
@@ -94,7 +94,7 @@ class CellTable:
 
     def wide(self, names: list[str], keep_empty: bool = True) -> DataFrame:
         """A row for each row key with the columns named, see ``cells_to_wide``."""
-        return cells_to_wide(self.cells(), names, version="version", keep_empty=keep_empty)
+        return gathered_wide(self.cells(), names, version="version", keep_empty=keep_empty)
 
     def compact(self) -> None:
         """Make one run of all. The files of the old ones stay for readers under way, until ``clean``."""

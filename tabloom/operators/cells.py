@@ -10,11 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabloom.durable import written
 from tabloom.schema import Field, declare, quoted
 
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 # Bits of the fraction and bias of the exponent.
 _IEEE = {T.DoubleType: (52, 1023), T.FloatType: (23, 127)}
+#: Hash values of row keys by which cells are counted.
+_BUCKETS = 65_536
 
 
 def _declared(names: list[str]) -> Column:
@@ -29,19 +32,51 @@ def _declared(names: list[str]) -> Column:
 
 
 def cells_to_wide(
-    cells: DataFrame, names: Iterable[str], version: str | None = None, keep_empty: bool = True
+    cells: DataFrame,
+    names: Iterable[str],
+    version: str | None = None,
+    keep_empty: bool = True,
+    task_cells: int = 250_000,
+    under: str | None = None,
 ) -> DataFrame:
     """One row per ``rowkey``, as text, with a text column for each declared ``family:qualifier``.
 
     Of several versions of a cell the highest ``version`` is kept. The columns are conditional
-    maxima of a single grouping: one shuffle, and since each map task first reduces a key to
-    one row, a key holding much of the table does not gather anywhere. That reduction sorts, as
-    text does not fit a hash aggregate, but an undeclared cell brings it no more than its row key.
+    maxima of a grouping, which sorts, as text does not fit a hash aggregate. So cells are counted by the hash of
+    their row key and dealt by it, to as many tasks as have ``task_cells`` each to sort. Keys among more cells
+    than that are dealt in parts, each first reduced to one row, so that a key holding much of the table does not
+    gather anywhere. Of an undeclared cell no more than its row key is sent. Cells are read twice.
 
     Every row key of the table appears, also one that has none of the declared cells. Where
     such rows are not wanted, ``keep_empty=False`` reads the declared cells only.
     """
     names = list(names)
+    kept = _kept(cells, names, version, keep_empty).withColumn("bucket", F.pmod(F.xxhash64("rowkey"), F.lit(_BUCKETS)))
+    counted = written(kept.groupBy("bucket").agg(F.count(F.lit(1)).alias("cells")), "cell-counts", under)
+    total, most = (n or 0 for n in counted.agg(F.sum("cells"), F.max("cells")).first())
+    tasks = max(1, -(-total // task_cells))
+    if most <= task_cells:
+        return _named(_picked(kept.repartition(tasks, "rowkey"), names), names)
+    parts = F.ceil(F.col("cells") / task_cells).alias("parts")
+    hot = written(counted.where(F.col("cells") > task_cells).select("bucket", parts), "hot-cells", under)
+    dealt = kept.join(F.broadcast(hot), "bucket", "left")
+    plain = _picked(dealt.where("parts is null").repartition(tasks, "rowkey"), names)
+    in_parts = dealt.where("parts is not null").withColumn("part", F.pmod(F.monotonically_increasing_id(), "parts"))
+    reduced = _picked(in_parts.repartition(tasks, "rowkey", "part"), names, "part")
+    best = [F.max(f"c{i}").alias(f"c{i}") for i in range(len(names))]
+    return _named(plain.unionByName(reduced.repartition(tasks, "rowkey").groupBy("rowkey").agg(*best)), names)
+
+
+def gathered_wide(
+    cells: DataFrame, names: Iterable[str], version: str | None = None, keep_empty: bool = True
+) -> DataFrame:
+    """``cells_to_wide`` of cells that are stored by row key, in order: neither shuffled nor sorted."""
+    names = list(names)
+    return _named(_picked(_kept(cells, names, version, keep_empty), names), names)
+
+
+def _kept(cells: DataFrame, names: list[str], version: str | None, keep_empty: bool) -> DataFrame:
+    """Of each cell its row key, the place of its column, and its version and value where that is declared."""
     rank = F.col(quoted(version)) if version else F.lit(0)
     cell = F.struct(rank.alias("rank"), F.col("value").cast("string").alias("value"))
     # the place of a cell's column, worked out once per cell and compared as a number from then on
@@ -56,13 +91,18 @@ def cells_to_wide(
         cells = cells.where(_declared(names))
     placed = cells.withColumn("place", place)
     # of an undeclared cell nothing but its row key goes on
-    kept = placed.select("rowkey", "place", F.when(F.col("place").isNotNull(), cell).alias("cell"))
-    picked = [F.max(F.when(F.col("place") == i, F.col("cell"))).alias(n) for i, n in enumerate(names)]
-    return (
-        kept.groupBy("rowkey")
-        .agg(*picked)
-        .select(F.col("rowkey").cast("string"), *(F.col(quoted(n)).getField("value").alias(n) for n in names))
-    )
+    return placed.select("rowkey", "place", F.when(F.col("place").isNotNull(), cell).alias("cell"))
+
+
+def _picked(kept: DataFrame, names: list[str], *parts: str) -> DataFrame:
+    """For each row key, and part of it, the best cell of each column."""
+    picked = [F.max(F.when(F.col("place") == i, F.col("cell"))).alias(f"c{i}") for i in range(len(names))]
+    return kept.groupBy("rowkey", *parts).agg(*picked)
+
+
+def _named(picked: DataFrame, names: list[str]) -> DataFrame:
+    values = (F.col(f"c{i}").getField("value").alias(n) for i, n in enumerate(names))
+    return picked.select(F.col("rowkey").cast("string"), *values)
 
 
 def _int_bytes(column: Column) -> Column:

@@ -148,3 +148,17 @@ def test_cells_written_again_replace_the_earlier_ones(spark, tmp_path):
         time.sleep(0.01)
     back = cells_to_wide(spark.read.orc(path), ["d:x", "d:y"], version="version")
     assert values(back.orderBy("rowkey")) == [("a", "1", "z"), ("b", "9", None)]
+
+
+def test_tasks_follow_the_cells_and_not_the_files(spark):
+    """One file's cells are dealt to many tasks before they are sorted, a row key with most of them in parts."""
+    cells = spark.range(0, 3_000, 1, 1).selectExpr(
+        "if(id % 3 = 0, cast(id as string), 'hot') as rowkey", "'d' as family", "if(id % 2 = 0, 'a', 'b') as qualifier",
+        "cast(id as string) as value", "id as version",
+    )
+    got = cells_to_wide(cells, ["d:a", "d:b"], version="version", task_cells=100)
+    plan = plan_of(got)
+    assert "hashpartitioning(rowkey" in plan and ", 30)" in plan
+    rows = {r[0]: r[1:] for r in got.collect()}
+    assert len(rows) == got.count() == 1_001
+    assert rows["hot"] == ("2998", "2999") and rows["6"] == ("6", None) and rows["9"] == (None, "9")
